@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pathloom.config import HOT_ROWS, SceneConfig
 from pathloom.functions.geometry import grid_cell
 from pathloom.operators.ordered import hot_groups, running_totals
-from pathloom.storage import broadcast_if_small
+from pathloom.storage import broadcast_if_small, freeze
 
 # The two sessions of a two-session recording lie this far apart.
 SESSION_FRAMES = 100_000
@@ -113,7 +113,8 @@ def split_frames(tracks: DataFrame, config: SceneConfig) -> DataFrame:
     dataset; no join by frame is needed.
     """
     order = frame_order(config)
-    borders = broadcast_if_small(split_borders(tracks, config))
+    # Two numbers per dataset that every later step needs again, so they are stored.
+    borders = broadcast_if_small(freeze(split_borders(tracks, config)))
     return tracks.join(borders, "dataset").select(
         *tracks.columns,
         F.when(F.col("_train_end").isNull() | (order < F.col("_train_end")), "train")

@@ -175,11 +175,11 @@ def forecast_check(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, c
     not full-length, or a pedestrian with a full-length one is too far off. Errors over
     steps where the truth is missing are unknown and pass.
     """
-    frames = scenes.select(
-        "dataset", "split", "scene", F.col("pedestrian").alias("primary"),
-        F.posexplode(F.slice(F.col("path.frame"), config.obs_len + 1, config.pred_len)).alias("t", "frame"))
+    ahead = scenes.select("dataset", "split", "scene", F.col("pedestrian").alias("primary"),
+                          F.slice(F.col("path.frame"), config.obs_len + 1, config.pred_len).alias("frames"))
     truth = tracks.select("dataset", "split", "frame", "pedestrian", F.col("x").alias("tx"), F.col("y").alias("ty"))
-    rows = (forecasts.join(frames, ["dataset", "scene", "t"])
+    rows = (forecasts.join(ahead, ["dataset", "scene"])
+            .withColumn("frame", F.get("frames", F.col("t").cast("int"))).drop("frames")
             .join(truth, ["dataset", "split", "frame", "pedestrian"], "left"))
     d = dist(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))
     by_ped = rows.groupBy("dataset", "scene", "iter", "pedestrian", "primary").agg(

@@ -132,15 +132,17 @@ def piece_window(group: Sequence[str], key: str, ties: Sequence[str] = ()):
     return Window.partitionBy(*group, "seg").orderBy(key, *ties)
 
 
-def number_in_order(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Number the rows of each group 0, 1, 2 … in the given total order.
+def number_in_order(rows: DataFrame, group: Sequence[str], order: Sequence[str], name: str,
+                    ties: Sequence[str] = ()) -> DataFrame:
+    """Number the rows of each group 0, 1, 2 … in the given order; ``ties`` only orders rows
+    that agree in all of it, which stay in one partition.
 
     One range shuffle sorts everything, hot groups included, into even partitions; a
     row's id is its place in its partition plus the rows of the group in earlier
     partitions. The sorted rows are written once, which fixes the partition borders.
     """
     group, order = list(group), list(order)
-    placed = freeze(rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    placed = freeze(rows.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order, *ties)
                     .withColumn("_at", F.monotonically_increasing_id()))
     placed = placed.withColumn("_part", F.shiftright("_at", 33))
     earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,13 +28,26 @@ def scene_steps(scenes: DataFrame, first: int, last: int) -> DataFrame:
                     before["frame"].alias("pframe"), before["x"].alias("px"), before["y"].alias("py")))
 
 
-def scene_paths(scenes: DataFrame, tracks: DataFrame) -> DataFrame:
-    """All rows of a scene in long form: every pedestrian seen at one of the frames of the
-    primary, with ``t``, the place of that frame, and ``is_primary``."""
-    frames = scenes.select(*SCENE, F.posexplode("path.frame").alias("t", "frame")).withColumnRenamed("pedestrian", "_primary")
-    return (frames.join(tracks.select(*FRAME, "pedestrian", "x", "y"), list(FRAME))
-            .select("dataset", "split", "scene", "pedestrian", (F.col("pedestrian") == F.col("_primary")).alias("is_primary"),
-                    "t", "frame", "x", "y"))
+def scene_paths(scenes: DataFrame, tracks: DataFrame, radius: float | None = None) -> DataFrame:
+    """Rows of a scene in long form: the pedestrians seen at one of the frames of the
+    primary, with ``t``, the place of that frame, and ``is_primary``.
+
+    Without a ``radius`` that is everybody in the frame, so the result is scenes times
+    crowd: a form to export a few scenes in. With one it is the rows that near to the
+    primary, from a grid join.
+    """
+    steps = scenes.select(*SCENE, F.posexplode("path").alias("t", "p")).select(
+        *SCENE, "t", F.col("p.frame").alias("frame"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    columns = ("dataset", "split", "scene", "pedestrian", "is_primary", "t", "frame", "x", "y")
+    own = steps.withColumn("is_primary", F.lit(True)).select(*columns)
+    if radius is None:
+        others = (steps.drop("x", "y").withColumnRenamed("pedestrian", "_primary")
+                  .join(tracks.select(*FRAME, "pedestrian", "x", "y"), list(FRAME))
+                  .where(F.col("pedestrian") != F.col("_primary")))
+    else:
+        others = nearby(steps, tracks, radius).select(
+            "dataset", "split", "scene", F.col("other").alias("pedestrian"), "t", "frame", F.col("ox").alias("x"), F.col("oy").alias("y"))
+    return own.unionByName(others.withColumn("is_primary", F.lit(False)).select(*columns))
 
 
 def nearby(steps: DataFrame, others: DataFrame, radius: float, on: Sequence[str] = FRAME) -> DataFrame:

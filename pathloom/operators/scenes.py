@@ -91,7 +91,7 @@ def scene_rows(scenes: DataFrame, config: SceneConfig) -> DataFrame:
 def number_scenes(scenes: DataFrame) -> DataFrame:
     """Add ``scene``: 0, 1, 2 … per dataset over the splits in their order."""
     placed = scenes.withColumn("_place", split_place(F.col("split")))
-    return number_in_order(placed, ["dataset"], ["_place", "pedestrian", "start", "end", "path"], "scene").drop("_place")
+    return number_in_order(placed, ["dataset"], ["_place", "pedestrian", "start", "end"], "scene", ["path"]).drop("_place")
 
 
 def with_public_test(scenes: DataFrame) -> DataFrame:
