@@ -7,6 +7,7 @@ become literals of a column expression.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -34,9 +35,9 @@ def kalman_weights(obs_len: int, horizon: int, process: float = 1e-5, measure: f
     return tuple(float(w) for w in ahead[0])
 
 
-def forecast(values: Column, obs_len: int, horizon: int) -> Column:
-    """Forecast of one coordinate from the first ``obs_len`` entries of an array."""
+def forecast(value: Callable[[int], Column], obs_len: int, horizon: int) -> Column:
+    """Forecast of one coordinate; ``value(k)`` is its k-th observation."""
     total = F.lit(0.0)
     for place, weight in enumerate(kalman_weights(obs_len, horizon)):
-        total = total + F.lit(weight) * values[place]
+        total = total + F.lit(weight) * value(place)
     return total

@@ -34,7 +34,8 @@ def travelled(config: SceneConfig) -> Column:
 def forecast_error(config: SceneConfig) -> Column:
     """Distance of the constant-velocity forecast from the true last position."""
     last = F.get("path", F.lit(config.chunk_size - 1))
-    ahead = lambda c: forecast(F.col(f"path.{c}"), config.obs_len, config.pred_len)
+    # Single entries are read off the path; taking ``path.x`` would build an array each time.
+    ahead = lambda c: forecast(lambda k: F.get("path", F.lit(k))[c], config.obs_len, config.pred_len)
     return dist(ahead("x"), ahead("y"), last["x"], last["y"])
 
 
