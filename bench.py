@@ -57,7 +57,7 @@ def main() -> None:
     start = time.perf_counter()
     tracks = copies(adapter.tracks(spark, FOLDER))
     split = freeze(split_frames(tracks, CONFIG))
-    scenes = S.scene_rows(S.cut_scenes(split, CONFIG), CONFIG)
+    scenes = S.scene_rows(S.cut_scenes(split, CONFIG).withColumn("path_kind", K.path_kind(CONFIG)), CONFIG)
     typed = freeze(K.type_scenes(scenes, split, CONFIG))
     inputs = round(time.perf_counter() - start, 3)
 
@@ -71,8 +71,8 @@ def main() -> None:
         "windows": lambda: S.path_windows(split, CONFIG.chunk_size, CONFIG.chunk_stride),
         "cut_scenes": lambda: S.cut_scenes(split, CONFIG),
         "number_scenes": lambda: S.scene_rows(S.cut_scenes(split, CONFIG), CONFIG),
-        "cone": lambda: K.cone_flags(scenes.where(K.path_kind(CONFIG).isNull()), split, CONFIG),
-        "group": lambda: K.group_flags(scenes.where(K.path_kind(CONFIG).isNull()), split, CONFIG),
+        "cone": lambda: K.cone_flags(scenes.where("path_kind IS NULL"), split, CONFIG),
+        "group": lambda: K.group_flags(scenes.where("path_kind IS NULL"), split, CONFIG),
         "type_scenes": lambda: K.type_scenes(scenes, split, CONFIG),
         "all_present": lambda: K.presence(scenes, split, CONFIG),
         "collisions": lambda: K.collisions(scenes, split, CONFIG),

@@ -13,7 +13,7 @@ from pathloom.catalog import adapter
 from pathloom.config import SceneConfig
 from pathloom.functions.forecast import kalman_weights
 from pathloom.operators.frames import split_frames
-from pathloom.operators.kinds import type_scenes
+from pathloom.operators.kinds import path_kind, type_scenes
 from pathloom.operators.scenes import cut_scenes, scene_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +48,8 @@ def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.stored(spark, sf_dir, "scenes", lambda: scene_rows(cut_scenes(split_tracks(spark, sf_dir), CONFIG), CONFIG))
+    return adapter.stored(spark, sf_dir, "scenes", lambda: scene_rows(
+        cut_scenes(split_tracks(spark, sf_dir), CONFIG).withColumn("path_kind", path_kind(CONFIG)), CONFIG))
 
 
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:

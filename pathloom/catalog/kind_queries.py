@@ -16,7 +16,7 @@ WIDE = CONFIG.but(collision_radius=0.6)
 
 
 def undecided(spark, sf_dir):
-    return scenes(spark, sf_dir).where(K.path_kind(CONFIG).isNull())
+    return scenes(spark, sf_dir).where("path_kind IS NULL")
 
 
 @query("ty_static", sql("kinds", "SELECT dataset, scene, round(travelled, 6) AS travelled, travelled < 1 AS is_static FROM kinds"))

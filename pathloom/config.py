@@ -12,6 +12,9 @@ HOT_ROWS = 4_000_000
 # Rows per piece of a hot group, without its overlap with the next piece.
 SEGMENT_ROWS = 1_000_000
 
+# Pedestrians with one and the same track that are compared with each other one by one.
+HOT_COPIES = 1_000
+
 # Largest lookup table that is broadcast after counting it.
 BROADCAST_ROWS = 1_000_000
 
@@ -45,6 +48,7 @@ class SceneConfig:
     seed: int = 42
     hot_rows: int = HOT_ROWS
     segment_rows: int = SEGMENT_ROWS
+    hot_copies: int = HOT_COPIES
 
     @property
     def chunk_size(self) -> int:

@@ -7,7 +7,6 @@ become literals of a column expression.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -35,9 +34,12 @@ def kalman_weights(obs_len: int, horizon: int, process: float = 1e-5, measure: f
     return tuple(float(w) for w in ahead[0])
 
 
-def forecast(value: Callable[[int], Column], obs_len: int, horizon: int) -> Column:
-    """Forecast of one coordinate; ``value(k)`` is its k-th observation."""
-    total = F.lit(0.0)
-    for place, weight in enumerate(kalman_weights(obs_len, horizon)):
-        total = total + F.lit(weight) * value(place)
-    return total
+def forecast(points: Column, axis: str, obs_len: int, horizon: int) -> Column:
+    """Forecast of one coordinate from the first ``obs_len`` entries of an array of points.
+
+    A fold over the weights: written out term by term, the generated code grows beyond
+    what the JVM compiles.
+    """
+    weights = F.array(*[F.lit(w) for w in kalman_weights(obs_len, horizon)])
+    terms = F.zip_with(F.slice(points, 1, obs_len), weights, lambda p, w: w * p[axis])
+    return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)

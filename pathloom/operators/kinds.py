@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from pathloom.config import SceneConfig
 from pathloom.functions.forecast import forecast
 from pathloom.functions.geometry import dist, dot, within_angle
-from pathloom.operators.pairs import frame_links, nearby, scene_steps
+from pathloom.operators.copies import PERSON, copies, without_followers
+from pathloom.operators.pairs import frame_links, frames_of, nearby, scene_steps
+from pathloom.storage import freeze
 
 STATIC, LINEAR, INTERACTING, OTHER = 1, 2, 3, 4
 LEADER, AVOIDANCE, GROUP, OTHERS = 1, 2, 3, 4
@@ -24,6 +26,9 @@ FORECAST_ADE, FORECAST_FDE = 0.11, 0.2
 
 ID = ("dataset", "scene")
 
+# A move of a primary: from its position at ``pframe`` to the next one.
+MOVE = ("dataset", "split", "pedestrian", "pframe", "frame")
+
 
 def travelled(config: SceneConfig) -> Column:
     """Distance from the first to the last position of the primary."""
@@ -34,8 +39,7 @@ def travelled(config: SceneConfig) -> Column:
 def forecast_error(config: SceneConfig) -> Column:
     """Distance of the constant-velocity forecast from the true last position."""
     last = F.get("path", F.lit(config.chunk_size - 1))
-    # Single entries are read off the path; taking ``path.x`` would build an array each time.
-    ahead = lambda c: forecast(lambda k: F.get("path", F.lit(k))[c], config.obs_len, config.pred_len)
+    ahead = lambda axis: forecast(F.col("path"), axis, config.obs_len, config.pred_len)
     return dist(ahead("x"), ahead("y"), last["x"], last["y"])
 
 
@@ -52,59 +56,99 @@ def path_kind(config: SceneConfig) -> Column:
     return F.when(is_static(config), STATIC).when(is_linear(config), LINEAR)
 
 
-def cone_contacts(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    """Neighbours ahead of the primary: near enough and inside the cone around its heading,
-    over the predicted steps. ``hx, hy`` is the primary's heading."""
-    steps = (scene_steps(scenes, config.obs_len, config.chunk_size)
-             .withColumn("hx", F.col("x") - F.col("px")).withColumn("hy", F.col("y") - F.col("py"))
-             .where((F.col("hx") != 0) | (F.col("hy") != 0)))
-    seen = nearby(steps, tracks, config.inter_dist_thresh)
-    return seen.where(within_angle(F.col("hx"), F.col("hy"), F.col("ox") - F.col("x"), F.col("oy") - F.col("y"), config.inter_pos_range))
+def open_steps(scenes: DataFrame, config: SceneConfig) -> DataFrame:
+    """Predicted steps of the scenes."""
+    return scene_steps(scenes, config.obs_len, config.chunk_size)
+
+
+def contacts(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
+    """Neighbours that matter for the type of a scene, per move of a primary: ``in_cone`` if
+    near enough and ahead, inside the cone around the heading ``hx, hy``; ``near`` if so
+    near that the two may form a group.
+
+    Overlapping scenes share most of their moves, so each distinct move looks for
+    neighbours once, and one grid join serves both questions.
+    """
+    moves = open_steps(scenes, config).select(*MOVE, "x", "y", "px", "py").distinct()
+    moves = moves.withColumn("hx", F.col("x") - F.col("px")).withColumn("hy", F.col("y") - F.col("py")).drop("px", "py")
+    seen = nearby(moves, tracks, max(config.inter_dist_thresh, config.grp_dist_thresh))
+    reach, close = config.inter_dist_thresh ** 2, config.grp_dist_thresh ** 2
+    in_cone = (F.col("d2") <= reach) & within_angle(
+        F.col("hx"), F.col("hy"), F.col("ox") - F.col("x"), F.col("oy") - F.col("y"), config.inter_pos_range)
+    return (seen.select(*MOVE, "other", "hx", "hy", "ox", "oy", in_cone.alias("in_cone"), (F.col("d2") <= close).alias("near"))
+            .where(F.col("in_cone") | F.col("near")))
 
 
-def cone_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
+def cone_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
     """Scenes with somebody in the cone, and whether such a neighbour moves the same way
-    (``leader``) or the opposite way (``avoidance``)."""
-    contacts = cone_contacts(scenes, tracks, config).select(
-        *ID, "split", "hx", "hy", "ox", "oy", F.col("pframe").alias("frame"), F.col("other").alias("pedestrian"))
-    before = tracks.select("dataset", "split", "frame", "pedestrian", F.col("x").alias("bx"), F.col("y").alias("by"))
-    moves = contacts.join(before, ["dataset", "split", "frame", "pedestrian"], "left")
+    (``leader``) or the opposite way (``avoidance``). ``found`` are their contacts, if
+    already known."""
+    found = contacts(scenes, tracks, config) if found is None else found
+    before = tracks.select("dataset", "split", F.col("frame").alias("pframe"), F.col("pedestrian").alias("other"),
+                           F.col("x").alias("bx"), F.col("y").alias("by"))
+    ahead = found.where("in_cone").drop("in_cone", "near").join(before, ["dataset", "split", "pframe", "other"], "left")
     nx, ny = F.col("ox") - F.col("bx"), F.col("oy") - F.col("by")
     hx, hy, limit = F.col("hx"), F.col("hy"), config.inter_pos_range
-    return moves.groupBy(*ID).agg(
+    by_move = ahead.groupBy(*MOVE).agg(F.bool_or(within_angle(hx, hy, nx, ny, limit)).alias("leader"),
+                                       F.bool_or(within_angle(hx, hy, -nx, -ny, limit)).alias("avoidance"))
+    return open_steps(scenes, config).select(*MOVE, "scene").join(by_move, list(MOVE)).groupBy(*ID).agg(
         F.lit(True).alias("cone"),
-        F.coalesce(F.bool_or(within_angle(hx, hy, nx, ny, limit)), F.lit(False)).alias("leader"),
-        F.coalesce(F.bool_or(within_angle(hx, hy, -nx, -ny, limit)), F.lit(False)).alias("avoidance"))
+        F.coalesce(F.bool_or("leader"), F.lit(False)).alias("leader"),
+        F.coalesce(F.bool_or("avoidance"), F.lit(False)).alias("avoidance"))
 
 
-def group_pairs(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
+def group_pairs(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
     """Neighbours that walk with the primary: mean distance and its spread stay small over
     the common predicted steps (two at least).
 
     A mean below the limit needs one step below it, so only pairs that come that near
     are followed through the scene.
     """
-    steps = scene_steps(scenes, config.obs_len, config.chunk_size).select("dataset", "split", "scene", "pedestrian", "frame", "x", "y")
-    once_near = nearby(steps, tracks, config.grp_dist_thresh).select(*ID, "split", "other").distinct()
+    found = contacts(scenes, tracks, config) if found is None else found
+    steps = open_steps(scenes, config).select(*MOVE, "scene", "x", "y")
+    once_near = steps.select(*MOVE, "scene").join(found.where("near").select(*MOVE, "other"), list(MOVE)).select(*ID, "split", "other").distinct()
     where = tracks.select("dataset", "split", "frame", F.col("pedestrian").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    both = once_near.join(steps, ["dataset", "split", "scene"]).join(where, ["dataset", "split", "frame", "other"])
+    both = (once_near.join(steps.drop("pframe", "pedestrian"), ["dataset", "split", "scene"])
+            .join(where, ["dataset", "split", "frame", "other"]))
     d = dist(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"))
     return (both.groupBy(*ID, "other").agg(F.avg(d).alias("mean_dist"), F.stddev_pop(d).alias("std_dist"), F.count("*").alias("steps"))
             .where((F.col("steps") >= 2) & (F.col("mean_dist") < config.grp_dist_thresh) & (F.col("std_dist") < config.grp_std_thresh)))
 
 
-def group_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    return group_pairs(scenes, tracks, config).groupBy(*ID).agg(F.lit(True).alias("grouped"))
+def group_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
+    return group_pairs(scenes, tracks, config, found).groupBy(*ID).agg(F.lit(True).alias("grouped"))
 
 
 def interactions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    """All flags of the scenes that have any."""
+    """All flags of the scenes that have any. The contacts are few and answer two
+    questions, so they are stored."""
     none = F.lit(False)
-    cone = cone_flags(scenes, tracks, config).withColumn("grouped", none)
-    group = group_flags(scenes, tracks, config).select(*ID, none.alias("cone"), none.alias("leader"), none.alias("avoidance"), "grouped")
+    found = freeze(contacts(scenes, tracks, config))
+    cone = cone_flags(scenes, tracks, config, found).withColumn("grouped", none)
+    group = group_flags(scenes, tracks, config, found).select(*ID, none.alias("cone"), none.alias("leader"), none.alias("avoidance"), "grouped")
     return cone.unionByName(group).groupBy(*ID).agg(*[F.bool_or(c).alias(c) for c in ("cone", "leader", "avoidance", "grouped")])
 
 
+def all_interactions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
+    """``interactions``, but of a large group of equal tracks only the first is looked at and
+    seen. The others get its flags; as they walk with each other, all of them are grouped.
+    """
+    members = copies(tracks, config.hot_copies)
+    if members is None:
+        return interactions(scenes, tracks, config)
+    members = freeze(members)
+    flags = interactions(without_followers(scenes, members), without_followers(tracks, members), config)
+    alone = flags.join(scenes.join(members, PERSON, "left_semi").select(*ID), list(ID), "left_anti")
+    walk_along = config.pred_len >= 2 and config.grp_dist_thresh > 0 and config.grp_std_thresh > 0
+    owned = scenes.select(*PERSON, "scene", "path").join(members, PERSON)
+    names = ("cone", "leader", "avoidance")
+    of_first = (owned.where(F.col("pedestrian") == F.col("leader")).select(*ID, "split", F.col("leader").alias("first"), "path")
+                .join(flags, list(ID)).groupBy("dataset", "split", "first", "path").agg(*[F.bool_or(n).alias(n) for n in names]))
+    shared = (owned.withColumnRenamed("leader", "first").join(of_first, ["dataset", "split", "first", "path"], "left")
+              .select(*ID, *[F.coalesce(n, F.lit(False)).alias(n) for n in names], F.lit(walk_along).alias("grouped")))
+    return alone.select(*ID, *names, "grouped").unionByName(shared)
+
+
 def sub_kinds() -> Column:
     """Interaction kinds from the flags."""
     none = ~(F.col("leader") | F.col("avoidance") | F.col("grouped"))
@@ -117,14 +161,18 @@ def type_scenes(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> Da
     compared with their neighbours; the others are never shuffled.
 
     ``scenes`` is read several times, so it should be a stored table, as numbering leaves it.
+    The result has the frames of a scene instead of its path, which is no longer needed.
     """
-    marked = scenes.drop("sub_tags").withColumn("tag", path_kind(config))
+    kind = F.col("path_kind") if "path_kind" in scenes.columns else path_kind(config)
+    marked = scenes.withColumn("tag", kind).drop("sub_tags", "path_kind")
     no_kind = F.array().cast("array<int>")
-    decided = marked.where(F.col("tag").isNotNull()).withColumn("sub_tags", no_kind)
+    by_frames = lambda rows: rows.withColumn("frames", F.col("path.frame")).drop("path")
+    decided = by_frames(marked.where(F.col("tag").isNotNull())).withColumn("sub_tags", no_kind)
     open_scenes = marked.where(F.col("tag").isNull()).drop("tag")
-    flagged = open_scenes.join(interactions(open_scenes, tracks, config), list(ID), "left")
-    typed = flagged.select(
-        *open_scenes.columns,
+    flags = all_interactions(open_scenes, tracks, config)
+    unmarked = by_frames(open_scenes)
+    typed = unmarked.join(flags, list(ID), "left").select(
+        *unmarked.columns,
         F.when(F.col("cone") | F.col("grouped"), INTERACTING).otherwise(OTHER).alias("tag"),
         F.when(F.col("cone") | F.col("grouped"), sub_kinds()).otherwise(no_kind).alias("sub_tags"))
     return decided.unionByName(typed)
@@ -155,6 +203,17 @@ def presence(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataF
 def collisions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
     """Scenes (``dataset, scene``) whose primary comes nearer than the collision radius to a
     neighbour, at a predicted step or half-way between two of them."""
+    members = copies(tracks, config.hot_copies) if config.collision_radius > 0 else None
+    if members is None:
+        return _collisions(scenes, tracks, config)
+    # A copy is always where the other copies are.
+    members = freeze(members)
+    certain = scenes.join(members, PERSON, "left_semi").select(*ID)
+    others = scenes.join(members, PERSON, "left_anti")
+    return certain.unionByName(_collisions(others, without_followers(tracks, members), config))
+
+
+def _collisions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
     radius = config.collision_radius
     touching = F.col("d2") < F.lit(radius * radius)
     steps = scene_steps(scenes, config.obs_len, config.chunk_size)
@@ -177,7 +236,7 @@ def forecast_check(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, c
     steps where the truth is missing are unknown and pass.
     """
     ahead = scenes.select("dataset", "split", "scene", F.col("pedestrian").alias("primary"),
-                          F.slice(F.col("path.frame"), config.obs_len + 1, config.pred_len).alias("frames"))
+                          F.slice(frames_of(scenes), config.obs_len + 1, config.pred_len).alias("frames"))
     truth = tracks.select("dataset", "split", "frame", "pedestrian", F.col("x").alias("tx"), F.col("y").alias("ty"))
     rows = (forecasts.join(ahead, ["dataset", "scene"])
             .withColumn("frame", F.get("frames", F.col("t").cast("int"))).drop("frames")
@@ -198,7 +257,7 @@ def short_test_scenes(scenes: DataFrame, shown: DataFrame, config: SceneConfig)
     """Public test scenes whose primary has fewer than ``obs_len`` rows among the tracks
     shown (``shown`` holds the public test tracks). There should be none."""
     test = scenes.where(F.col("split") == "test")
-    frames = test.select("dataset", "scene", "pedestrian", F.explode("path.frame").alias("frame"))
+    frames = test.select("dataset", "scene", "pedestrian", F.explode(frames_of(scenes)).alias("frame"))
     rows = shown.where(F.col("split") == "test").select("dataset", "pedestrian", "frame")
     counts = frames.join(rows, ["dataset", "pedestrian", "frame"]).groupBy(*ID).agg(F.count("*").alias("n_shown"))
     return (test.select(*ID).join(counts, list(ID), "left")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.functions.geometry import dist2, grid_cell
@@ -19,6 +19,11 @@ SCENE = ("dataset", "split", "scene", "pedestrian")
 FRAME = ("dataset", "split", "frame")
 
 
+def frames_of(scenes: DataFrame) -> Column:
+    """The frames of a scene, which a typed one has instead of its path."""
+    return F.col("frames" if "frames" in scenes.columns else "path.frame")
+
+
 def scene_steps(scenes: DataFrame, first: int, last: int) -> DataFrame:
     """One row per scene and place ``first`` <= i < ``last``: the position of the primary
     and, as ``pframe, px, py``, the one before (NULL at place 0)."""

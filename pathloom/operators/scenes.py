@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pathloom.config import HOT_ROWS, SEGMENT_ROWS, SceneConfig
 from pathloom.functions.geometry import dist2
 from pathloom.operators.frames import SPLIT_ORDER, frame_keys, frame_stats, split_place
+from pathloom.operators.pairs import frames_of
 from pathloom.operators.ordered import hot_groups, number_in_order, piece_window, segments
 
 
@@ -91,7 +92,8 @@ def scene_rows(scenes: DataFrame, config: SceneConfig) -> DataFrame:
 def number_scenes(scenes: DataFrame) -> DataFrame:
     """Add ``scene``: 0, 1, 2 … per dataset over the splits in their order."""
     placed = scenes.withColumn("_place", split_place(F.col("split")))
-    return number_in_order(placed, ["dataset"], ["_place", "pedestrian", "start", "end"], "scene", ["path"]).drop("_place")
+    ties = [c for c in ("path", "frames") if c in scenes.columns]
+    return number_in_order(placed, ["dataset"], ["_place", "pedestrian", "start", "end"], "scene", ties).drop("_place")
 
 
 def with_public_test(scenes: DataFrame) -> DataFrame:
@@ -104,15 +106,15 @@ def with_public_test(scenes: DataFrame) -> DataFrame:
         "sub_tags", F.when(~public, F.col("sub_tags")))
 
 
-def shown_frames(config: SceneConfig) -> Column:
+def shown_frames(scenes: DataFrame, config: SceneConfig) -> Column:
     """The frames a scene shows: all of them, but only the observed ones in public test."""
-    frames = F.col("path.frame")
+    frames = frames_of(scenes)
     return F.when(F.col("split") == "test", F.slice(frames, 1, config.obs_len)).otherwise(frames)
 
 
 def kept_frames(scenes: DataFrame, config: SceneConfig) -> DataFrame:
     """Distinct frames shown by at least one scene, per dataset and split."""
-    return scenes.select("dataset", "split", F.explode(shown_frames(config)).alias("frame")).distinct()
+    return scenes.select("dataset", "split", F.explode(shown_frames(scenes, config)).alias("frame")).distinct()
 
 
 def tracks_of_frames(tracks: DataFrame, frames: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

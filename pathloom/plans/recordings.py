@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pathloom.config import SceneConfig
 from pathloom.operators.frames import split_frames
-from pathloom.operators.kinds import short_test_scenes, type_scenes
+from pathloom.operators.kinds import path_kind, short_test_scenes, type_scenes
 from pathloom.operators.scenes import cut_scenes, kept_frames, scene_rows, tracks_of_frames, with_public_test
 from pathloom.operators.selection import accept, drop_invalid, prefilter, renumber, tag_stats
 from pathloom.sinks.writers import write_ndjson, write_tables
@@ -35,10 +35,11 @@ class SceneSet:
 def prepare(tracks: DataFrame, config: SceneConfig) -> tuple[DataFrame, DataFrame]:
     """Split by frame, cut and number scenes: (tracks with their split, scenes).
 
-    The tracks are read by several steps, so they are stored once, already parsed.
+    The tracks are read by several steps, so they are stored once, already parsed. The
+    part of the type that a path alone decides is stored with the scenes.
     """
     split = split_frames(freeze(tracks), config)
-    return split, scene_rows(cut_scenes(split, config), config)
+    return split, scene_rows(cut_scenes(split, config).withColumn("path_kind", path_kind(config)), config)
 
 
 def publish(scenes: DataFrame, split: DataFrame, config: SceneConfig) -> SceneSet:

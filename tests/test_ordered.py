@@ -6,13 +6,16 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from pathloom.catalog import base
+from pathloom.config import SceneConfig
 from pathloom.operators import frames as R
 from pathloom.operators import scenes as S
 from pathloom.operators import synth as Y
-from pathloom.operators.kinds import type_scenes
+from pathloom.operators.copies import copies
+from pathloom.operators.kinds import collisions, type_scenes
 from pathloom.operators.ordered import number_in_order, piece_window, running_totals, segments
 from pathloom.operators.resample import midpoints
-from pathloom.config import SceneConfig
+from pathloom.plans.recordings import prepare
 from conftest import rows
 
 WHOLE = dict(hot_rows=10**9, segment_rows=10**6)
@@ -113,6 +116,19 @@ def test_kept_tracks(doubled):
     assert rows(S.tracks_of_frames(split, frames, 2)) == rows(S.tracks_of_frames(split, frames))
 
 
+def test_copies_of_a_track(spark, small):
+    """Many equal tracks, some of whose scenes are open: as if compared one by one."""
+    tracks = base.tracks(spark, small)
+    again = tracks.where("pedestrian IN (4, 7)").withColumn("pedestrian", F.explode(F.sequence(F.col("pedestrian") + 1000, F.col("pedestrian") + 4000, F.lit(1000))))
+    split, scenes = prepare(tracks.unionByName(again), SceneConfig())
+    assert copies(split, 1000) is None
+    assert copies(split, 3).select("pedestrian").distinct().count() == 10
+    plain, few = SceneConfig(collision_radius=1.0), SceneConfig(collision_radius=1.0, hot_copies=3)
+    typed = [rows(type_scenes(scenes, split, c).select("dataset", "scene", "pedestrian", "tag", F.to_json("sub_tags").alias("s"))) for c in (plain, few)]
+    assert typed[0] == typed[1] and any(r[1] > 1000 and r[4] == 3 for r in typed[0])
+    assert rows(collisions(scenes, split, few)) == rows(collisions(scenes, split, plain))
+
+
 def test_midpoints_and_turns(crowd):
     line = crowd.withColumn("pos", F.col("frame"))
     assert rows(midpoints(line, **CUT)) == rows(midpoints(line, **WHOLE))

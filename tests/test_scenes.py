@@ -158,8 +158,8 @@ def test_ids_are_consecutive_over_the_splits(result):
 
 def test_scenes_are_whole(result):
     scenes = result[1].scenes
-    assert scenes.where(F.size("path") != CONFIG.chunk_size).isEmpty()
-    assert scenes.where("start <> path[0].frame OR end <> path[20].frame").isEmpty()
+    assert scenes.where(F.size("frames") != CONFIG.chunk_size).isEmpty()
+    assert scenes.where("start <> frames[0] OR end <> frames[20]").isEmpty()
     assert scenes.where("split <> 'test' AND tag NOT BETWEEN 1 AND 4").isEmpty()
     assert scenes.where("split <> 'test' AND (tag = 3) <> (size(sub_tags) > 0)").isEmpty()
     assert scenes.where("split = 'test' AND (tag <> 0 OR sub_tags IS NOT NULL)").isEmpty()
@@ -173,7 +173,7 @@ def test_public_test_shows_a_part_of_private_test(result):
 def test_layout_does_not_matter(result):
     tracks, first = result
     again = P.convert(tracks.repartition(13, "frame"), CONFIG.but(acceptance=(0.5, 1.0, 0.8, 0.9)))
-    flat = lambda r: (rows(r.scenes.withColumn("path", F.to_json("path")).withColumn("sub_tags", F.to_json("sub_tags"))), rows(r.tracks))
+    flat = lambda r: (rows(r.scenes.withColumn("frames", F.to_json("frames")).withColumn("sub_tags", F.to_json("sub_tags"))), rows(r.tracks))
     assert flat(again) == flat(first)
 
 
