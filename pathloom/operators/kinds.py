@@ -6,14 +6,12 @@ Types: 1 static, 2 linear, 3 interacting, 4 other. Interaction kinds of type 3:
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.config import SceneConfig
 from pathloom.functions.forecast import forecast
-from pathloom.functions.geometry import dist, dot, within_angle
+from pathloom.functions.geometry import dist, within_angle
 from pathloom.operators.copies import PERSON, copies, without_followers
 from pathloom.operators.pairs import frame_links, frames_of, nearby, scene_steps
 from pathloom.storage import freeze

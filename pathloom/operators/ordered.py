@@ -29,13 +29,14 @@ def hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame
     so that ordinary data keeps the ordinary plan.
 
     Counting reads the key columns only and combines on the map side. At most (all rows /
-    hot_rows) groups qualify, so the list is safe to broadcast.
+    hot_rows) groups qualify; the list is still counted before it is broadcast, for
+    settings that make it long.
     """
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > hot_rows).persist()
     if sizes.isEmpty():
         sizes.unpersist()
         return None
-    return F.broadcast(sizes)
+    return broadcast_if_small(sizes)
 
 
 def _block_offsets(blocks: DataFrame, group: list[str], names: list[str]) -> DataFrame:

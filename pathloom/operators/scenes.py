@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from pathloom.config import HOT_ROWS, SEGMENT_ROWS, SceneConfig
 from pathloom.functions.geometry import dist2
-from pathloom.operators.frames import SPLIT_ORDER, frame_keys, frame_stats, split_place
-from pathloom.operators.pairs import frames_of
+from pathloom.operators.frames import frame_keys, frame_stats, split_place
 from pathloom.operators.ordered import hot_groups, number_in_order, piece_window, segments
+from pathloom.operators.pairs import frames_of
+from pathloom.storage import broadcast_if_small
 
 
 def is_continuous(frames: Column, tolerance: float) -> Column:
@@ -131,7 +132,7 @@ def tracks_of_frames(tracks: DataFrame, frames: DataFrame, hot_rows: int = HOT_R
     hot = hot_groups(tracks, keys, hot_rows)
     if hot is None:
         return tracks.join(frames, keys, "left_semi")
-    hot_kept = F.broadcast(frames.join(hot, keys, "left_semi"))
+    hot_kept = broadcast_if_small(frames.join(hot, keys, "left_semi"))
     calm = tracks.join(hot, keys, "left_anti").join(frames, keys, "left_semi")
     return calm.unionByName(tracks.join(hot_kept, keys, "left_semi"))
 
