@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,35 @@ def work_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# With this setting Spark deletes the shuffle files of a query when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Drop the shuffle files of every query inside as soon as it ends. Only for queries whose
+    result is written; a data frame that ran inside is not run again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def new_folder(spark: SparkSession, name: str = "pathloom") -> str:
+    """A folder of its own below the shared one."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def freeze(rows: DataFrame) -> DataFrame:
     """Write the rows once and read them back: later steps share the work, see only the
-    columns they need, and a lost executor cannot change what was written."""
+    columns they need, and a lost executor cannot change what was written. Shuffle files
+    go when the rows are written."""
     spark = rows.sparkSession
-    target = f"{work_folder(spark)}/pathloom-{uuid.uuid4().hex}"
-    rows.write.parquet(target)
+    target = new_folder(spark)
+    with shuffle_cleanup(spark):
+        rows.write.parquet(target)
     return spark.read.schema(rows.schema).parquet(target)
 
 

@@ -3,16 +3,17 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from pathloom.catalog.queries import ORACLES, QUERIES
 from tools.check_queries import compare
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, small, name):
     assert compare(spark, con, name, small) == ""
 
 
 def test_only_splines_lack_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"src_crowds"}
+    assert set(QUERIES) - set(ORACLES) == {"src_crowds"}
 
 
 def test_entry(spark):
