@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pathloom.llm.packing import pack
+from pathloom.llm.pieces import encode_decode
+from pathloom.llm.quality import quality
+from pathloom.llm.secret_scan import scan_secrets
 from pathloom.llm.simhash import near_duplicates
+from pathloom.llm.suffix_dedup import remove_repeats
+from pathloom.llm.url_rules import DEFAULT, RULES, judge_urls, split_rule
+from pathloom.llm.warc import round_trip
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +26,92 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op2_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(_table(spark, folder, "pages"))
+
+
+_RULE_ROWS = ", ".join(f"('{verdict}', '{rule}', '{split_rule(rule)[0]}', '{split_rule(rule)[1]}')" for verdict, rule in RULES)
+
+OP2_SQL = f"""
+WITH rules(verdict, rule, rule_host, rule_path) AS (VALUES {_RULE_ROWS}),
+rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+parts AS (
+    SELECT row_number() OVER () AS n, page_id,
+           translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rest)
+SELECT page_id, host, path, rule, coalesce(verdict, '{DEFAULT}') AS verdict
+FROM parts LEFT JOIN rules
+  ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule) DESC, length(rule_host) DESC) = 1
+"""
+
+def op3_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    found = encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(_table(spark, folder, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(_table(spark, folder, "pages"))
+
+
+_DIGITS = " || ".join(f"to_base(CAST('0x' || substr(hash, {1 + 10 * i}, 10) AS BIGINT), 32, 8)" for i in range(4))
+
+OP5_SQL = f"""
+WITH sizes AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hash FROM pages),
+firsts AS (SELECT *, max(page_id) OVER (PARTITION BY hash) AS response FROM sizes)
+SELECT page_id, payload_bytes,
+       translate(upper({_DIGITS}), '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM firsts
+"""
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(_table(spark, folder, "documents"))
+
+
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans",
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_url_rules": op2_url_rules,
+    "op3_pieces": op3_pieces,
+    "op4_secrets": op4_secrets,
+    "op5_warc": op5_warc,
+    "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_url_rules": OP2_SQL,
+    "op5_warc": OP5_SQL,
+}
