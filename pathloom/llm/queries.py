@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pathloom.llm.html_text import main_text
+from pathloom.llm.neighbours import nearest_neighbours
 from pathloom.llm.packing import pack
 from pathloom.llm.pieces import encode_decode
 from pathloom.llm.quality import quality
@@ -86,6 +88,10 @@ SELECT page_id, payload_bytes,
 FROM firsts
 """
 
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(_table(spark, folder, "pages"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(_table(spark, folder, "documents"))
 
@@ -100,15 +106,21 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_rules": op2_url_rules,
     "op3_pieces": op3_pieces,
     "op4_secrets": op4_secrets,
     "op5_warc": op5_warc,
+    "op6_html_text": op6_html_text,
     "op7_quality": op7_quality,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
+    "op10_neighbours": op10_neighbours,
 }
 
 ORACLES: dict[str, str] = {

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.llm.components import star_components
@@ -176,6 +176,14 @@ def near_links(fps: DataFrame, radius: int = RADIUS, slices: int = SLICES) -> Da
     return spark.read.schema("a long, b long").parquet(target)
 
 
+def _rooted(found: DataFrame, first: Column, radius: int, slices: int) -> DataFrame:
+    """``(fp, first, root)`` per fingerprint: an aggregate of its rows and the fingerprint that
+    stands for its component."""
+    fps = freeze(found.groupBy("fp").agg(first.alias("first")))
+    stars = star_components(near_links(fps, radius, slices))
+    return fps.join(stars, fps["fp"] == stars["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS,
                     slices: int = SLICES) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs``: the fingerprint as 16
@@ -186,10 +194,31 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     (null) if it has no other. Repeated rows stay repeated. An empty table gives an empty one.
     """
     found = freeze(fingerprints(docs, doc_id, text))
-    fps = freeze(found.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    stars = star_components(near_links(fps, radius, slices))
-    rooted = fps.join(stars, fps["fp"] == stars["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(found, F.min("doc_id"), radius, slices)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = freeze(rooted.join(least, "root").select("fp", "component_id"))
     return found.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS,
+             slices: int = SLICES) -> DataFrame:
+    """One row of each component of near-duplicates, with all columns as they are.
+
+    The row with the smallest doc_id stays; rows without an id come last, ties are decided by a
+    hash of the text, and of rows that agree in both any one stays.
+    """
+    names = docs.columns
+    key = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("tie"))
+    found = freeze(fingerprints(docs.select(key.alias("key"), F.col(text).alias("words")), "key", "words"))
+    chosen = _rooted(found, F.min("doc_id"), radius, slices).groupBy("root").agg(F.min("first").alias("key"))
+    # ids may be null within the key, so it is compared as a whole
+    flat = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    counted = found.groupBy(flat(F.col("doc_id")).alias("key")).count()
+    kept = freeze(counted.join(chosen.select(flat(F.col("key")).alias("key")), "key"))
+    rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), flat(key).alias("key"))
+    one = rows.join(kept.where("count = 1"), "key", "left_semi")
+    repeated = kept.where("count > 1")
+    if not repeated.isEmpty():
+        one = one.unionByName(rows.join(repeated, "key", "left_semi").dropDuplicates(["key"]))
+    return one.select(*[F.col("row")[n].alias(n) for n in names])
