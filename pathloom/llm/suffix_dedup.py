@@ -18,7 +18,7 @@ task names the buckets of its own texts alike. Two shuffles tell which buckets a
 Hot strings: each task first works off the runs (windows) that it sees itself and sends one for
 each bucket, so a passage in a third of all documents is one small row per task. Shuffles carry
 packed rows of 28 to 37 bytes instead of strings. Texts are joined by document, never grouped
-by content.
+by content. Windows are worked off in slices of their identifiers, one on disk at a time.
 """
 
 from __future__ import annotations
@@ -27,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.storage import freeze
+from pathloom.storage import freeze, new_folder, shuffle_cleanup
 
 LENGTH = 100
 GRAM = 8
@@ -38,6 +39,7 @@ SEGMENT = 1 << 20  # window starts that are named at once
 FLUSH = 1 << 20  # runs or windows that a task works off at once
 BUCKET_BITS = 10
 TASK_BYTES = 24 << 20
+WINDOW_SLICES = 2
 LAST = (1 << 63) - 1  # stands for a null id: after all others
 
 _POSITION = np.uint64((1 << 24) - 1)
@@ -45,8 +47,11 @@ _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np
 
 RUN = np.dtype([("h", "<u8"), ("r", "<u8"), ("d", "<i8"), ("t", "<i4"), ("a", "<i4"), ("n", "<i4"), ("many", "u1")])
 WINDOW = np.dtype([("h", "<u8"), ("r", "<u4"), ("d", "<i8"), ("t", "<i4"), ("a", "<i4")])
+RANGE = np.dtype([("d", "<i8"), ("t", "<i4"), ("a", "<i4"), ("b", "<i4")])
 
-INTERVALS = "d long, t int, open boolean, starts array<int>, ends array<int>"
+# Packed rows: of one kind and bucket. Runs and windows are on their way, ranges are decided.
+PACKED = "kind int, bucket int, rows binary"
+SENT, CLOSED, OPEN = 0, 1, 2
 
 
 def _mix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -147,43 +152,45 @@ def merged(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return group[first], a[first], (reach - far)[last]
 
 
-def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
-
-
-def _interval_batch(found: list[tuple[np.ndarray, ...]], packed: bool) -> pa.RecordBatch | None:
-    """A row per document and kind from (d, t, open, a, b) arrays."""
-    d, t, is_open, a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0),) * 5
-    if not len(d):
-        return None
-    keys = np.empty(len(d), [("d", "i8"), ("t", "i4"), ("o", "i1")])
-    keys["d"], keys["t"], keys["o"] = d, t, is_open
-    unique, group = np.unique(keys, return_inverse=True)
-    group, a, b = merged(group.ravel().astype(np.int64), a.astype(np.int64), b.astype(np.int64))
-    sizes = np.bincount(group, minlength=len(unique))
-    columns = {"d": pa.array(unique["d"]), "t": pa.array(unique["t"]), "open": pa.array(unique["o"] > 0), "starts": _lists(a, sizes), "ends": _lists(b, sizes)}
-    if packed:
-        columns = {"bucket": pa.array((unique["d"] % (1 << BUCKET_BITS)).astype(np.int32)), "rows": pa.nulls(len(unique), pa.binary())} | columns
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def _packed_batch(rows: np.ndarray) -> pa.RecordBatch:
-    """Rows packed by bucket."""
+def _packed(rows: np.ndarray, hashes: np.ndarray, kind: int) -> pa.RecordBatch:
+    """Rows packed by the bucket of their hash."""
     with np.errstate(over="ignore"):
-        bucket = ((rows["h"] * _M1) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    rows = rows[order]
+        bucket = ((hashes.astype(np.uint64) * _M1) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    rows = rows[np.argsort(bucket, kind="stable")]
     sizes = np.bincount(bucket, minlength=1 << BUCKET_BITS)
     used = np.flatnonzero(sizes)
     offsets = np.concatenate([[0], np.cumsum(sizes[used])]) * rows.dtype.itemsize
     packed = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(rows.tobytes())])
-    empty = pa.nulls(len(used), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_pydict({"bucket": pa.array(used.astype(np.int32)), "rows": packed, "d": pa.nulls(len(used), pa.int64()),
-                                       "t": pa.nulls(len(used), pa.int32()), "open": pa.nulls(len(used), pa.bool_()), "starts": empty, "ends": empty})
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(used), kind, np.int32)), pa.array(used.astype(np.int32)), packed], names=["kind", "bucket", "rows"])
+
+
+def _unpacked(column: pa.Array, dtype: np.dtype) -> list[np.ndarray]:
+    return [np.frombuffer(x, dtype) for x in column.to_pylist()]
+
+
+def _by_document(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents (d, t) and the unions of their ranges: number of the document, start, end."""
+    keys, group = np.unique(rows[["d", "t"]], return_inverse=True)
+    return keys, *merged(group.ravel().astype(np.int64), rows["a"].astype(np.int64), rows["b"].astype(np.int64))
+
 
+def _range_batches(closed: np.ndarray, still_open: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for kind, rows in ((CLOSED, closed), (OPEN, still_open)):
+        if len(rows):
+            keys, group, a, b = _by_document(rows)
+            out = np.empty(len(a), RANGE)
+            out["d"], out["t"], out["a"], out["b"] = keys["d"][group], keys["t"][group], a, b
+            yield _packed(out, out["d"], kind)
 
-PACKED = f"bucket int, rows binary, {INTERVALS}"
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per document of the ranges in a partition."""
+    held = [rows for batch in batches for rows in _unpacked(batch.column("rows"), RANGE)]
+    if held:
+        keys, group, a, b = _by_document(np.concatenate(held))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(group, minlength=len(keys)))]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (a, b)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys["d"]), pa.array(keys["t"]), *lists], names=["d", "t", "starts", "ends"])
 
 
 def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,19 +211,19 @@ def _per_bucket(values: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     return np.repeat(np.add.reduceat(values.astype(np.int64), begin), np.diff(np.append(begin, len(values))))
 
 
-def _ranges(rows: np.ndarray, is_open: bool, length: int) -> tuple[np.ndarray, ...]:
-    """Removed bytes of rows, or their open windows."""
-    n = rows["n"] if "n" in rows.dtype.names else 1
-    return rows["d"], rows["t"], np.full(len(rows), is_open, np.int8), rows["a"], rows["a"] + n - (1 if not is_open else 0) + (0 if is_open else length)
+def _removed(rows: np.ndarray, length: int) -> np.ndarray:
+    """The bytes that the windows of the rows cover."""
+    out = _windows(rows)
+    out["b"] += length - 1
+    return out
 
 
-def _work_off_runs(rows: np.ndarray, length: int) -> tuple[np.ndarray, list]:
-    """What one task decides about its runs: rows to send, and (d, t, open, a, b) ranges."""
-    rows, bucket, content = _sorted(rows)
-    several = _per_bucket(content, bucket) > 1
-    sent = rows[bucket].copy()  # one for each bucket
-    sent["many"] = several[bucket]
-    return sent, [_ranges(rows[~content], False, length), _ranges(rows[content & several], True, length)]
+def _windows(rows: np.ndarray) -> np.ndarray:
+    """The windows of the rows, as ranges of their starts."""
+    out = np.empty(len(rows), RANGE)
+    out["d"], out["t"], out["a"] = rows["d"], rows["t"], rows["a"]
+    out["b"] = rows["a"] + (rows["n"] if "n" in rows.dtype.names else 1)
+    return out
 
 
 def _sieve_map(length: int):
@@ -224,10 +231,12 @@ def _sieve_map(length: int):
         held, count = [], 0
 
         def flush():
-            sent, ranges = _work_off_runs(np.concatenate(held), length)
-            yield _packed_batch(sent)
-            if (batch := _interval_batch(ranges, True)) is not None:
-                yield batch
+            rows, bucket, content = _sorted(np.concatenate(held))
+            several = _per_bucket(content, bucket) > 1
+            sent = rows[bucket]  # one for each bucket
+            sent["many"] = several[bucket]
+            yield _packed(sent, sent["h"], SENT)
+            yield from _range_batches(_removed(rows[~content], length), _windows(rows[content & several]))
 
         for batch in batches:
             d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
@@ -255,11 +264,9 @@ def _meet(dtype: np.dtype, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            packed = batch.column("rows")
-            held += [np.frombuffer(x, dtype) for x in packed.drop_null().to_pylist()]
-            through = batch.filter(packed.is_null())
-            if through.num_rows:
-                yield through.select(["d", "t", "open", "starts", "ends"])
+            sent = pc.equal(batch.column("kind"), SENT)
+            held += _unpacked(batch.column("rows").filter(sent), dtype)
+            yield batch.filter(pc.invert(sent))
         if not held:
             return
         rows = np.concatenate(held)
@@ -273,24 +280,21 @@ def _meet(dtype: np.dtype, length: int):
         if "many" in dtype.names:
             many = rows["many"] > 0  # their tasks have opened all their runs already
             alike = (_per_bucket(content, bucket) == 1) & (_per_bucket(many, bucket) == 0)
-            ranges = [_ranges(rows[alike & ~content], False, length), _ranges(rows[~alike & ~many], True, length)]
+            yield from _range_batches(_removed(rows[alike & ~content], length), _windows(rows[~alike & ~many]))
         else:
-            ranges = [_ranges(rows[~content], False, length)]
-        if (batch := _interval_batch(ranges, False)) is not None:
-            yield batch
+            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE))
 
     return run
 
 
-def _window_map(length: int):
+def _window_map(length: int, slices: int, current: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
 
         def flush():
             rows, _, content = _sorted(np.concatenate(held))
-            yield _packed_batch(rows[content])
-            if (batch := _interval_batch([_ranges(rows[~content], False, length)], True)) is not None:
-                yield batch
+            yield _packed(rows[content], rows["h"][content], SENT)
+            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE))
 
         for batch in batches:
             columns = [batch.column(n) for n in ("d", "t", "text", "starts", "ends")]
@@ -303,7 +307,7 @@ def _window_map(length: int):
                     marks = np.zeros(len(whole) + 1, np.int32)
                     np.add.at(marks, np.clip(starts - at, 0, len(whole)), 1)
                     np.add.at(marks, np.clip(ends - at, 0, len(whole)), -1)
-                    found = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+                    found = np.flatnonzero((np.cumsum(marks[:-1]) > 0) & (whole % np.uint64(slices) == current))
                     rows = np.empty(len(found), WINDOW)
                     rows["h"], rows["r"], rows["d"], rows["t"], rows["a"] = whole[found], more[found], d, t, found + at
                     held.append(rows)
@@ -317,24 +321,28 @@ def _window_map(length: int):
     return run
 
 
-def _gathered(intervals: DataFrame) -> DataFrame:
-    """All ranges of a document in one row; a document has at most as many as bytes."""
-    return intervals.groupBy("d", "t").agg(F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"))
-
-
-def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = LENGTH, slices: int = WINDOW_SLICES) -> DataFrame:
     """``(d, t, starts, ends)``: per document the byte ranges covered by a string of ``length``
     bytes that also starts earlier. ``docs`` has the order ``d`` (long, not null), the tie
     ``t`` (int) and the ``text`` as binary; rows that agree in d and t are one document."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 30 * RUN.itemsize // TASK_BYTES)
-    sieved = docs.where(F.octet_length("text") >= length).mapInArrow(_sieve_map(length), PACKED)
-    first = freeze(sieved.repartition(tasks, "bucket").mapInArrow(_meet(RUN, length), INTERVALS))
-    closed, still_open = first.where("NOT open"), _gathered(first.where("open"))
-    windows = docs.join(still_open, ["d", "t"]).mapInArrow(_window_map(length), PACKED)
-    second = freeze(windows.repartition(tasks, "bucket").mapInArrow(_meet(WINDOW, length), INTERVALS))
-    return _gathered(closed.unionByName(second))
+
+    def met(rows: DataFrame, dtype: np.dtype) -> DataFrame:
+        return rows.repartition(tasks, "bucket").mapInArrow(_meet(dtype, length), PACKED)
+
+    def gathered(ranges: DataFrame) -> DataFrame:
+        return ranges.repartition(tasks, "bucket").mapInArrow(_gather, "d long, t int, starts array<int>, ends array<int>")
+
+    first = freeze(met(docs.where(F.octet_length("text") >= length).mapInArrow(_sieve_map(length), PACKED), RUN))
+    opened = freeze(docs.join(gathered(first.where(F.col("kind") == OPEN)), ["d", "t"]))
+    target = new_folder(spark, "ranges")
+    with shuffle_cleanup(spark):
+        for current in range(slices):
+            met(opened.mapInArrow(_window_map(length, slices, current), PACKED), WINDOW).write.mode("append").parquet(target)
+    second = spark.read.schema(PACKED).parquet(target)
+    return gathered(first.where(F.col("kind") == CLOSED).unionByName(second))
 
 
 def _keyed(docs: DataFrame, keep: dict, doc_id: str, text: str) -> DataFrame:
