@@ -9,7 +9,10 @@ from pathloom.operators import kinds as K
 from pathloom.operators.pairs import neighbors, scene_steps
 from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
 from pathloom.operators.selection import accept
-from pathloom.plans.recordings import convert, require_scenes
+from pathloom.plans.recordings import convert, require_scenes, retype
+from pathloom.sinks.writers import write_ndjson
+from pathloom.sources.tables import ndjson_parts, parse_ndjson_scenes
+from pathloom.storage import new_folder
 
 # Nobody in the derived walk comes nearer than the usual 0.1 m; this finds some.
 WIDE = CONFIG.but(collision_radius=0.6)
@@ -53,6 +56,15 @@ def ty_main(spark, sf_dir):
     return K.type_scenes(scenes(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG).select("dataset", "split", "scene", "tag")
 
 
+@query("pl_retype", sql("subs", "SELECT dataset, split, scene, tag, sub_tags FROM subs"))
+def pl_retype(spark, sf_dir):
+    """Scenes written as lines, read again, and typed from the tracks."""
+    folder, rows = new_folder(spark, "scenes"), split_tracks(spark, sf_dir)
+    write_ndjson(scenes(spark, sf_dir), rows.limit(0), folder)
+    found = retype(parse_ndjson_scenes(ndjson_parts(spark, folder)).drop("tag", "sub_tags"), rows, CONFIG)
+    return found.select("dataset", "split", "scene", "tag", F.array_join(F.col("sub_tags").cast("array<string>"), ",").alias("sub_tags"))
+
+
 @query("ty_sub", sql("subs", "SELECT dataset, scene, tag, sub_tags FROM subs WHERE tag = 3"))
 def ty_sub(spark, sf_dir):
     rows = K.type_scenes(scenes(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG).where("tag = 3")
@@ -98,7 +110,7 @@ def forecasts(spark, sf_dir):
         (F.col("x") + (F.col("h") % 29).cast("double") / 100.0).alias("x"), F.col("y"))
 
 
-@query("ty_forecast_check", sql("own_kind", f"""SELECT dataset, scene, bool_or(off OR own <> 12) AS is_invalid FROM (
+@query("ty_forecast_check", sql("own_kind", f"""SELECT dataset, scene, bool_or(off OR own <> 12) AS is_invalid, count(*) AS n_iter FROM (
       SELECT dataset, scene, iter, bool_or(coalesce(n = 12 AND ((n_true = 12 AND ade > {real(0.11)}) OR fde > {real(0.2)}), false)) AS off,
         coalesce(max(CASE WHEN pedestrian = lead_ped THEN n END), 0) AS own FROM errors GROUP BY dataset, scene, iter) GROUP BY dataset, scene""",
     p="SELECT dataset, split, scene, pedestrian, i - 9 AS t, path[i + 1].frame AS frame, path[i + 1].x AS x, path[i + 1].y AS y FROM sc, range(9, 21) AS places(i)",

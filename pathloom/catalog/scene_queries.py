@@ -8,7 +8,7 @@ from pathloom.catalog.base import CONFIG, query, scenes, split_tracks, sql, trac
 from pathloom.operators import frames as R
 from pathloom.operators import scenes as S
 from pathloom.operators.ordered import number_in_order, segments
-from pathloom.operators.selection import accept, renumber, tag_stats
+from pathloom.operators.selection import accept, acceptance_stats, renumber, tag_stats
 from pathloom.plans.originals import frame_fan, long_starts, originals
 
 WINDOW = ("dataset", "split", "pedestrian", "row_no")
@@ -164,6 +164,13 @@ def agg_tag_stats(spark, sf_dir):
     return tag_stats(accept(typed(spark, sf_dir), CONFIG))
 
 
+@query("agg_accept_stats", sql("draws", f"""SELECT dataset, split, tag, count(*) AS n_total, count(*) FILTER (WHERE u < chance) AS n_kept,
+    count(*) FILTER (WHERE u >= chance) AS n_rejected FROM (SELECT *, CASE WHEN tag = 1 THEN CAST('0.1' AS DOUBLE) ELSE 1 END AS chance FROM draws) GROUP BY dataset, split, tag"""))
+def agg_accept_stats(spark, sf_dir):
+    rows = typed(spark, sf_dir)
+    return acceptance_stats(rows, accept(rows, CONFIG))
+
+
 LONG = "SELECT dataset, pedestrian, count(*) AS n_rows, min(frame) AS start FROM tracks GROUP BY dataset, pedestrian HAVING count(*) >= 20"
 FAN = "SELECT DISTINCT dataset, start + 10 * k AS frame FROM long, range(0, 20) AS places(k)"
 

@@ -62,7 +62,7 @@ STANDARD = joined("\t", *PLAIN)
 def _line_query(name: str, fmt: str, text: str, oracle: str) -> None:
     @query(name, oracle)
     def run(spark, sf_dir):
-        return L.parse_lines(lines(spark, sf_dir, text), fmt)
+        return L.parse_lines(lines(spark, sf_dir, text), fmt, mode="DROP")
 
 
 _line_query("src_biwi", "biwi", BIWI, expected(BIWI, " ", num(1, " - 1"), num(2), dbl(3), dbl(5)))

@@ -23,7 +23,7 @@ SIM = """SELECT CASE WHEN (pedestrian // 5) % 3 = 0 THEN 'plaza' ELSE 'street' E
 GOALS = """SELECT dataset, scene, pedestrian, max(CASE WHEN step = 40 - lag_steps THEN x END) AS gx, max(CASE WHEN step = 40 - lag_steps THEN y END) AS gy
     FROM sim GROUP BY dataset, scene, pedestrian"""
 NEAR = """SELECT sim.*, (x - gx) * (x - gx) + (y - gy) * (y - gy) < 1 AS reached FROM sim JOIN goals USING (dataset, scene, pedestrian)"""
-FIRST = "SELECT dataset, scene, pedestrian, min(step) AS first FROM near WHERE reached GROUP BY ALL"
+FIRST = "SELECT dataset, scene, pedestrian, min(step) AS first FROM near WHERE reached AND step > 0 GROUP BY ALL"
 TRIMMED = "SELECT sim.* FROM sim LEFT JOIN first USING (dataset, scene, pedestrian) WHERE first IS NULL OR step <= first"
 THERE = "SELECT dataset, scene, step, count(*) FILTER (WHERE reached) AS there FROM near WHERE step > 0 GROUP BY ALL"
 DONE = """SELECT dataset, scene, max(there) = max(n) AS done FROM there JOIN (SELECT dataset, scene, count(DISTINCT pedestrian) AS n FROM sim GROUP BY ALL) USING (dataset, scene) GROUP BY ALL"""

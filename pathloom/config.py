@@ -44,6 +44,8 @@ class SceneConfig:
     grp_dist_thresh: float = 0.8
     grp_std_thresh: float = 0.2
     collision_radius: float = 0.1
+    forecast_iterations: int = 5
+    require_parts: bool = False  # every recording needs scenes in each of its parts
     acceptance: tuple[float, float, float, float] = (0.1, 1.0, 1.0, 1.0)
     seed: int = 42
     hot_rows: int = HOT_ROWS

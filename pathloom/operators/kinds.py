@@ -128,22 +128,24 @@ def interactions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> D
 
 
 def all_interactions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    """``interactions``, but of a large group of equal tracks only the first is looked at and
-    seen. The others get its flags; as they walk with each other, all of them are grouped.
+    """``interactions``, but of the scenes of a large group of equal tracks only one for each
+    path is looked at, the first among those given, and of the tracks only the first is seen.
+    The other scenes with the path get its flags; as the copies walk with each other, all of
+    them are grouped. A copy never lies in the cone of another one: they are at one place.
     """
     members = copies(tracks, config.hot_copies)
     if members is None:
         return interactions(scenes, tracks, config)
     members = freeze(members)
-    flags = interactions(without_followers(scenes, members), without_followers(tracks, members), config)
-    alone = flags.join(scenes.join(members, PERSON, "left_semi").select(*ID), list(ID), "left_anti")
+    names, same = ("cone", "leader", "avoidance"), ["dataset", "split", "first", "path"]
+    owned = scenes.select(*PERSON, "scene", "path").join(members.withColumnRenamed("leader", "first"), PERSON)
+    chosen = freeze(owned.groupBy(*same).agg(F.min("scene").alias("scene")))
+    looked_at = scenes.join(members, PERSON, "left_anti").unionByName(scenes.join(chosen.select(*ID), list(ID), "left_semi"))
+    flags = freeze(interactions(looked_at, without_followers(tracks, members), config))
+    alone = flags.join(chosen.select(*ID), list(ID), "left_anti")
     walk_along = config.pred_len >= 2 and config.grp_dist_thresh > 0 and config.grp_std_thresh > 0
-    owned = scenes.select(*PERSON, "scene", "path").join(members, PERSON)
-    names = ("cone", "leader", "avoidance")
-    of_first = (owned.where(F.col("pedestrian") == F.col("leader")).select(*ID, "split", F.col("leader").alias("first"), "path")
-                .join(flags, list(ID)).groupBy("dataset", "split", "first", "path").agg(*[F.bool_or(n).alias(n) for n in names]))
-    shared = (owned.withColumnRenamed("leader", "first").join(of_first, ["dataset", "split", "first", "path"], "left")
-              .select(*ID, *[F.coalesce(n, F.lit(False)).alias(n) for n in names], F.lit(walk_along).alias("grouped")))
+    of_path = chosen.join(flags.select(*ID, *names), list(ID), "left").drop("scene")
+    shared = owned.join(of_path, same).select(*ID, *[F.coalesce(n, F.lit(False)).alias(n) for n in names], F.lit(walk_along).alias("grouped"))
     return alone.select(*ID, *names, "grouped").unionByName(shared)
 
 
@@ -229,7 +231,7 @@ def first_of_start(scenes: DataFrame) -> DataFrame:
 
 
 def forecast_check(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, config: SceneConfig) -> DataFrame:
-    """Per scene with forecasts, ``is_invalid``: in some iteration the primary's forecast is
+    """Per scene with forecasts, their iterations ``n_iter`` and ``is_invalid``: in some one the primary's forecast is
     not full-length, or a pedestrian with a full-length one is too far off. Errors over
     steps where the truth is missing are unknown and pass.
     """
@@ -248,7 +250,8 @@ def forecast_check(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, c
     own = F.when(F.col("pedestrian") == F.col("primary"), F.col("n"))
     by_iter = by_ped.groupBy("dataset", "scene", "iter").agg(
         F.bool_or(F.coalesce(off, F.lit(False))).alias("off"), F.coalesce(F.max(own), F.lit(0)).alias("own"))
-    return by_iter.groupBy("dataset", "scene").agg(F.bool_or(F.col("off") | (F.col("own") != config.pred_len)).alias("is_invalid"))
+    return by_iter.groupBy("dataset", "scene").agg(
+        F.bool_or(F.col("off") | (F.col("own") != config.pred_len)).alias("is_invalid"), F.count("*").alias("n_iter"))
 
 
 def short_test_scenes(scenes: DataFrame, shown: DataFrame, config: SceneConfig) -> DataFrame:

@@ -8,6 +8,7 @@ stitched together exactly:
 * ``running_totals``  - running sums (and so row numbers) over integer-ordered groups
 * ``segments``        - row windows: pieces that overlap by the reach of the window
 * ``number_in_order`` - consecutive ids over a total order, by one range shuffle
+* ``totals_in_order`` - sums of all earlier rows over a total order, likewise
 """
 
 from __future__ import annotations
@@ -151,3 +152,16 @@ def number_in_order(rows: DataFrame, group: Sequence[str], order: Sequence[str],
              .select(*group, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_head")).alias("_shift")))
     return (placed.join(broadcast_if_small(heads), [*group, "_part"])
             .select(*rows.columns, (F.col("_at") + F.col("_shift")).alias(name)))
+
+
+def totals_in_order(rows: DataFrame, group: Sequence[str], order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all earlier rows of the group in the given order. As for
+    ``number_in_order``, partitions are summed on their own and shifted by the earlier ones."""
+    group, order = list(group), list(order)
+    placed = freeze(rows.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id()))
+    within = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy(*group, "_part").agg(F.sum(value).alias("_sum")).select(
+        *group, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+    summed = placed.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
+    return summed.join(broadcast_if_small(parts), [*group, "_part"]).select(*rows.columns, (F.col("_within") + F.col("_shift")).alias(name))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from pathloom.config import HOT_ROWS, SEGMENT_ROWS, SceneConfig
 from pathloom.functions.geometry import dist2
 from pathloom.operators.frames import frame_keys, frame_stats, split_place
-from pathloom.operators.ordered import hot_groups, number_in_order, piece_window, segments
+from pathloom.operators.ordered import hot_groups, piece_window, segments, totals_in_order
 from pathloom.operators.pairs import frames_of
-from pathloom.storage import broadcast_if_small
+from pathloom.storage import broadcast_if_small, freeze
 
 
 def is_continuous(frames: Column, tolerance: float) -> Column:
@@ -31,8 +31,8 @@ def long_tracks(tracks: DataFrame, least: int) -> DataFrame:
 def path_windows(tracks: DataFrame, size: int, stride: int, hot_rows: int = HOT_ROWS,
                  segment_rows: int = SEGMENT_ROWS, sizes_from: DataFrame | None = None) -> DataFrame:
     """Windows of ``size`` consecutive rows that start at every ``stride``-th row of a
-    pedestrian, as ``path``, an array of (frame, x, y). Where the tracks carry frame
-    statistics, also their total (``n_rows``) and whether one row was ``close``.
+    pedestrian, as ``path``, an array of (frame, x, y), with the row's number and the piece
+    ``seg`` it was found in. Where the tracks carry frame statistics, also their total (``n_rows``) and whether one row was ``close``.
 
     One shuffle and one sort, by pedestrian and frame; a pedestrian with fewer rows
     simply has no full window.
@@ -44,7 +44,7 @@ def path_windows(tracks: DataFrame, size: int, stride: int, hot_rows: int = HOT_
                     sizes_from=sizes_from, hot_rows=hot_rows, segment_rows=segment_rows)
     ahead = piece_window(group, "frame", ties).rowsBetween(0, size - 1)
     total = {"n_rows": F.sum, "close": F.max}
-    return (rows.select(*group, "row_no", "own", *[total[c](c).over(ahead).alias(c) for c in stats],
+    return (rows.select(*group, "seg", "row_no", "own", *[total[c](c).over(ahead).alias(c) for c in stats],
                         F.collect_list(F.struct("frame", "x", "y")).over(ahead).alias("path"))
             .where(F.col("own") & (F.size("path") == size) & ((F.col("row_no") - 1) % stride == 0))
             .drop("own"))
@@ -73,28 +73,47 @@ def candidate_windows(tracks: DataFrame, config: SceneConfig) -> DataFrame:
 
 
 def cut_scenes(tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    """Windows that pass all four filters, the cheap ones first."""
+    """Windows that pass all four filters, the cheap ones first; ``seg`` and ``row_no`` order
+    those of a pedestrian."""
     return (candidate_windows(tracks, config)
             .where(F.col("close") & active(config) & moved(config))
             .where(continuous(config))
-            .drop("row_no", "n_rows", "close"))
+            .drop("n_rows", "close"))
 
 
 def scene_rows(scenes: DataFrame, config: SceneConfig) -> DataFrame:
     """Scenes with consecutive ids per dataset that run on from train to val to test,
-    in order of pedestrian and start."""
-    return (number_scenes(
-        scenes.withColumn("start", F.col("path")[0]["frame"]).withColumn("end", F.element_at("path", -1)["frame"]))
+    in order of pedestrian and start.
+
+    The paths stay where their window was: a scene's place among those of its pedestrian's
+    piece needs no other shuffle, and only the pieces' sizes are put in order.
+    """
+    keyed = scenes.withColumn("start", F.col("path")[0]["frame"]).withColumn("end", F.element_at("path", -1)["frame"])
+    piece = ["dataset", "split", "pedestrian", "seg"]
+    ranked = freeze(keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(*piece).orderBy("row_no"))).drop("row_no"))
+    sizes = ranked.groupBy(*piece).agg(F.count("*").alias("_size")).withColumn("_place", split_place(F.col("split")))
+    before = totals_in_order(sizes, ["dataset"], ["_place", "pedestrian", "seg"], "_size", "_before").select(*piece, "_before")
+    numbered = ranked.join(broadcast_if_small(before), piece).withColumn("scene", F.col("_before") + F.col("_rank") - 1)
+    return (numbered.drop("seg", "_rank", "_before")
         .withColumn("fps", F.lit(float(config.fps)))
         .withColumn("tag", F.lit(0))
         .withColumn("sub_tags", F.lit(None).cast("array<int>")))
 
 
-def number_scenes(scenes: DataFrame) -> DataFrame:
-    """Add ``scene``: 0, 1, 2 … per dataset over the splits in their order."""
-    placed = scenes.withColumn("_place", split_place(F.col("split")))
-    ties = [c for c in ("path", "frames") if c in scenes.columns]
-    return number_in_order(placed, ["dataset"], ["_place", "pedestrian", "start", "end"], "scene", ties).drop("_place")
+def with_paths(scenes: DataFrame, tracks: DataFrame) -> DataFrame:
+    """Give stored scenes their ``path`` again: the primary's rows from start to end, in order
+    of frame and position. ``scenes`` has dataset, split, pedestrian, start and end, as written
+    and read again; a scene without rows is left out.
+
+    Scenes and tracks meet by pedestrian, so each is shuffled once; a row is repeated for the
+    scenes it lies in, as it was in the first cut.
+    """
+    rows = tracks.select("dataset", "split", "pedestrian", "frame", "x", "y")
+    keys = ["dataset", "split", "pedestrian", "scene"]
+    found = (scenes.select(*keys, "start", "end").join(rows, ["dataset", "split", "pedestrian"])
+             .where(F.col("frame").between(F.col("start"), F.col("end")))
+             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("frame", "x", "y"))).alias("path")))
+    return scenes.drop("path").join(found, keys)
 
 
 def with_public_test(scenes: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pathloom.config import SceneConfig
 from pathloom.functions.draws import uniform
 from pathloom.operators.kinds import collisions, first_of_start, forecast_check, presence
-from pathloom.operators.scenes import number_scenes
+from pathloom.operators.ordered import number_in_order
+from pathloom.storage import broadcast_if_small, freeze
 
 # Names of the four interaction kinds, in their order.
 KIND_NAMES = ("LF", "CA", "Group", "Others")
@@ -33,14 +34,27 @@ def prefilter(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> Data
 
 
 def drop_invalid(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, config: SceneConfig) -> DataFrame:
-    """Drop accepted scenes that their re-simulation does not reproduce."""
-    bad = forecast_check(scenes, tracks, forecasts, config).where("is_invalid")
-    return scenes.join(bad, ["dataset", "scene"], "left_anti")
+    """Keep accepted scenes that every iteration of their re-simulation reproduces. A scene
+    that lacks ``config.forecast_iterations`` iterations, or has none, is not kept."""
+    good = forecast_check(scenes, tracks, forecasts, config).where(~F.col("is_invalid") & (F.col("n_iter") >= config.forecast_iterations))
+    return scenes.join(good, ["dataset", "scene"], "left_semi")
 
 
 def renumber(scenes: DataFrame) -> DataFrame:
-    """Consecutive ids again, over the accepted scenes of all splits."""
-    return number_scenes(scenes.drop("scene"))
+    """Consecutive ids again, over the accepted scenes of all splits. The old ids have the
+    order already, so only they are put in order; the scenes follow by a join."""
+    scenes = freeze(scenes)
+    ids = number_in_order(scenes.select("dataset", "scene"), ["dataset"], ["scene"], "_new")
+    return scenes.join(broadcast_if_small(ids), ["dataset", "scene"]).drop("scene").withColumnRenamed("_new", "scene")
+
+
+def acceptance_stats(typed: DataFrame, kept: DataFrame) -> DataFrame:
+    """Scenes in all, kept and rejected per dataset, split and type. ``kept`` is what the draw
+    and the checks left of ``typed``, with the scene ids of before renumbering."""
+    marked = typed.select("dataset", "scene", "split", "tag").join(
+        kept.select("dataset", "scene", F.lit(True).alias("_kept")), ["dataset", "scene"], "left")
+    return marked.groupBy("dataset", "split", "tag").agg(
+        F.count("*").alias("n_total"), F.count("_kept").alias("n_kept"), F.count_if(F.col("_kept").isNull()).alias("n_rejected"))
 
 
 def tag_stats(scenes: DataFrame) -> DataFrame:

@@ -43,10 +43,11 @@ def with_goal_range(rows: DataFrame, goals: DataFrame, end_range: float = END_RA
 
 
 def trim_at_goal(rows: DataFrame, goals: DataFrame, end_range: float = END_RANGE) -> DataFrame:
-    """Rows of a pedestrian up to the one that first reaches its goal. To be applied to
-    full-rate rows. The first such step is a plain minimum, so no window is needed."""
+    """Rows of a pedestrian up to the one that first reaches its goal; where it starts does not
+    count. To be applied to full-rate rows. The first such step is a plain minimum, so no
+    window is needed."""
     near = with_goal_range(rows, goals, end_range)
-    first = near.where("reached").groupBy(*AGENT).agg(F.min("step").alias("_first"))
+    first = near.where("reached AND step > 0").groupBy(*AGENT).agg(F.min("step").alias("_first"))
     return (rows.join(first, AGENT, "left").where(F.col("_first").isNull() | (F.col("step") <= F.col("_first")))
             .select(*rows.columns))
 

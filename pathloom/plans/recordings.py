@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pathloom.config import SceneConfig
 from pathloom.operators.frames import split_frames
 from pathloom.operators.kinds import path_kind, short_test_scenes, type_scenes
-from pathloom.operators.scenes import cut_scenes, kept_frames, scene_rows, tracks_of_frames, with_public_test
+from pathloom.operators.scenes import cut_scenes, kept_frames, scene_rows, tracks_of_frames, with_paths, with_public_test
 from pathloom.operators.selection import accept, drop_invalid, prefilter, renumber, tag_stats
 from pathloom.sinks.writers import write_ndjson, write_tables
 from pathloom.storage import freeze
@@ -60,9 +60,18 @@ def select(scenes: DataFrame, split: DataFrame, config: SceneConfig, forecasts:
     return renumber(kept)
 
 
-def require_scenes(scenes: DataFrame) -> DataFrame:
+def missing_parts(scenes: DataFrame, split: DataFrame) -> DataFrame:
+    """The parts (``dataset, split``) of recordings that have rows but no scene."""
+    part = ["dataset", "split"]
+    return split.select(*part).distinct().join(scenes.select(*part).distinct(), part, "left_anti")
+
+
+def require_scenes(scenes: DataFrame, split: DataFrame | None = None) -> DataFrame:
+    """The scenes, if there are any; with the tracks ``split`` also in each of their parts."""
     if scenes.isEmpty():
         raise ValueError("no scenes found")
+    if split is not None and (missing := missing_parts(scenes, split).take(5)):
+        raise ValueError(f"no scenes found in {', '.join(f'{r.dataset}/{r.split}' for r in missing)}")
     return scenes
 
 
@@ -76,10 +85,34 @@ def require_test_length(published: SceneSet, config: SceneConfig) -> SceneSet:
 def convert(tracks: DataFrame, config: SceneConfig, forecasts: DataFrame | None = None) -> SceneSet:
     """The whole conversion: tracks in, published scenes and tracks out."""
     split, scenes = prepare(tracks, config)
-    chosen = select(require_scenes(scenes), split, config, forecasts)
+    chosen = select(require_scenes(scenes, split if config.require_parts else None), split, config, forecasts)
     return require_test_length(publish(chosen, split, config), config)
 
 
+def convert_mixed(tracks: DataFrame, settings: dict[str, SceneConfig], default: SceneConfig | None = None) -> SceneSet:
+    """Conversions with settings of their own per dataset; the others take ``default`` or are
+    left out. Datasets with equal settings are converted together, in one pass each."""
+    groups: dict[SceneConfig, list[str]] = {}
+    for dataset, config in settings.items():
+        groups.setdefault(config, []).append(dataset)
+    parts = [convert(tracks.where(F.col("dataset").isin(names)), config) for config, names in groups.items()]
+    if default is not None:
+        others = tracks.where(~F.coalesce(F.col("dataset").isin(list(settings)), F.lit(False)))
+        parts += [] if others.isEmpty() else [convert(others, default)]
+    if not parts:
+        raise ValueError("no dataset has settings")
+    scenes, rows = parts[0].scenes, parts[0].tracks
+    for part in parts[1:]:
+        scenes, rows = scenes.unionByName(part.scenes), rows.unionByName(part.tracks)
+    return SceneSet(scenes, rows)
+
+
+def retype(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
+    """Type stored scenes: those of a written set, or any with dataset, split, scene,
+    pedestrian, start and end, over the split tracks they were cut from."""
+    return type_scenes(freeze(with_paths(scenes, tracks)), tracks, config)
+
+
 def stats(result: SceneSet) -> DataFrame:
     """Counts per dataset, split, type and kind; public test scenes have none."""
     return tag_stats(result.scenes.where(F.col("split") != "test"))

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 GOAL_SPLITS = ("train", "val", "test_private")
 
 
+def balanced(rows: DataFrame, *keys: str) -> DataFrame:
+    """Bring the rows of a folder together before it is written, in pieces of the usual size:
+    few files each, and no task with all rows of a large one."""
+    return rows.hint("rebalance", *keys)
+
+
 def track_json(tracks: DataFrame) -> Column:
     fields = [F.col("frame").alias("f"), F.col("pedestrian").alias("p"), "x", "y"]
     if "prediction_number" in tracks.columns:
@@ -34,7 +40,7 @@ def ndjson_lines(scenes: DataFrame, tracks: DataFrame) -> DataFrame:
 
 def write_ndjson(scenes: DataFrame, tracks: DataFrame, folder: str) -> None:
     """One folder per dataset and split, replaced if it exists."""
-    ndjson_lines(scenes, tracks).write.mode("overwrite").partitionBy("dataset", "split").text(folder)
+    balanced(ndjson_lines(scenes, tracks), "dataset", "split").write.mode("overwrite").partitionBy("dataset", "split").text(folder)
 
 
 def tracks_only(tracks: DataFrame) -> DataFrame:
@@ -52,7 +58,7 @@ def csv_rows(tracks: DataFrame) -> DataFrame:
 
 def write_csv(tracks: DataFrame, folder: str) -> None:
     """Lines ``frame,pedestrian,x,y`` per dataset."""
-    csv_rows(tracks).write.mode("overwrite").partitionBy("dataset").csv(folder)
+    balanced(csv_rows(tracks), "dataset").write.mode("overwrite").partitionBy("dataset").csv(folder)
 
 
 def goals_by_split(goals: DataFrame) -> DataFrame:
@@ -61,9 +67,9 @@ def goals_by_split(goals: DataFrame) -> DataFrame:
 
 
 def write_goals(goals: DataFrame, folder: str) -> None:
-    goals_by_split(goals).write.mode("overwrite").partitionBy("split").parquet(folder)
+    balanced(goals_by_split(goals), "split").write.mode("overwrite").partitionBy("split").parquet(folder)
 
 
 def write_tables(rows: DataFrame, folder: str) -> None:
     """Our own form: Parquet by dataset and split, which later reads can prune by."""
-    rows.write.mode("overwrite").partitionBy("dataset", "split").parquet(folder)
+    balanced(rows, "dataset", "split").write.mode("overwrite").partitionBy("dataset", "split").parquet(folder)

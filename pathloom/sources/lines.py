@@ -94,9 +94,10 @@ def _parsed(lines: DataFrame, fmt: LineFormat, dataset: str | None) -> DataFrame
     return rows.withColumn("reason", F.when(reason != "", F.concat(F.lit("not a number: "), reason)))
 
 
-def parse_lines(lines: DataFrame, fmt: str, dataset: str | None = None, mode: str = "DROP") -> DataFrame:
+def parse_lines(lines: DataFrame, fmt: str, dataset: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Lines (path, value) of a format to tracks, thinned as the format demands. The
-    dataset is the given one, a ``dataset`` column of the lines, or the file's name."""
+    dataset is the given one, a ``dataset`` column of the lines, or the file's name. A malformed line is
+    an error; with ``mode="DROP"`` it is left out, to be fetched by ``rejects``."""
     spec = FORMATS[fmt]
     rows = _parsed(lines, spec, dataset)
     if mode == "FAILFAST":
@@ -119,5 +120,5 @@ def text_lines(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.text(glob).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def read_lines(spark: SparkSession, glob: str, fmt: str, dataset: str | None = None, mode: str = "DROP") -> DataFrame:
+def read_lines(spark: SparkSession, glob: str, fmt: str, dataset: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     return parse_lines(text_lines(spark, glob), fmt, dataset, mode)

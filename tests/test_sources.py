@@ -46,7 +46,7 @@ LINES = {
 def test_line_formats(spark, tmp_path, fmt):
     text, want, bad = LINES[fmt]
     path = put(tmp_path, "street.txt", text)
-    found = L.read_lines(spark, path, fmt)
+    found = L.read_lines(spark, path, fmt, mode="DROP")
     assert sorted(tracks(found)) == sorted(want)
     assert {r["dataset"] for r in found.collect()} == {"street"}
     left = L.rejects(L.text_lines(spark, path), fmt).collect()
