@@ -89,7 +89,7 @@ def _patterns(words: np.ndarray, slices: int) -> np.ndarray:
     return found
 
 
-def _emit(radius: int, slices: int, current: int):
+def _emit(radius: int, slices: int, current: int, bits: int = BUCKET_BITS):
     masks = half_ball(radius)
     mask_patterns = _patterns(masks, slices)
 
@@ -106,10 +106,10 @@ def _emit(radius: int, slices: int, current: int):
             fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             for part in range(0, len(fps), BLOCK):
                 words, numbers = words_of(fps[part:part + BLOCK])
-                bucket = (words * _MULTIPLIER) >> np.uint64(64 - BUCKET_BITS)
+                bucket = (words * _MULTIPLIER) >> np.uint64(64 - bits)
                 order = np.sort((bucket << np.uint64(40)) | np.arange(len(words), dtype=np.uint64))
                 index = (order & np.uint64((1 << 40) - 1)).astype(np.int64)
-                sizes = np.bincount((order >> np.uint64(40)).astype(np.int64), minlength=1 << BUCKET_BITS)
+                sizes = np.bincount((order >> np.uint64(40)).astype(np.int64), minlength=1 << bits)
                 used = np.flatnonzero(sizes)
                 ends = np.cumsum(sizes[used])
                 offsets = np.concatenate([[0], ends])
@@ -165,12 +165,13 @@ def near_links(fps: DataFrame, radius: int = RADIUS, slices: int = SLICES) -> Da
     n = fps.count()
     per_slice = n * len(half_ball(radius)) * WORD_BYTES // slices
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-per_slice // TASK_BYTES))
+    bits = max(BUCKET_BITS, (4 * tasks).bit_length())  # several buckets for each task
     spread = fps.select("fp").repartition(max(spark.sparkContext.defaultParallelism, n // (16 * BLOCK)))
     spread = freeze(spread)
     target = new_folder(spark, "links")
     with shuffle_cleanup(spark):
         for current in range(slices):
-            words = spread.mapInArrow(_emit(radius, slices, current), "bucket int, words binary, masks binary")
+            words = spread.mapInArrow(_emit(radius, slices, current, bits), "bucket int, words binary, masks binary")
             met = words.repartition(tasks, "bucket").mapInArrow(_collide(radius), "a long, b long")
             met.write.mode("append").parquet(target)
     return spark.read.schema("a long, b long").parquet(target)

@@ -152,12 +152,12 @@ def merged(group: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray,
     return group[first], a[first], (reach - far)[last]
 
 
-def _packed(rows: np.ndarray, hashes: np.ndarray, kind: int) -> pa.RecordBatch:
+def _packed(rows: np.ndarray, hashes: np.ndarray, kind: int, bits: int) -> pa.RecordBatch:
     """Rows packed by the bucket of their hash."""
     with np.errstate(over="ignore"):
-        bucket = ((hashes.astype(np.uint64) * _M1) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        bucket = ((hashes.astype(np.uint64) * _M1) >> np.uint64(64 - bits)).astype(np.int64)
     rows = rows[np.argsort(bucket, kind="stable")]
-    sizes = np.bincount(bucket, minlength=1 << BUCKET_BITS)
+    sizes = np.bincount(bucket, minlength=1 << bits)
     used = np.flatnonzero(sizes)
     offsets = np.concatenate([[0], np.cumsum(sizes[used])]) * rows.dtype.itemsize
     packed = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(rows.tobytes())])
@@ -174,13 +174,13 @@ def _by_document(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return keys, *merged(group.ravel().astype(np.int64), rows["a"].astype(np.int64), rows["b"].astype(np.int64))
 
 
-def _range_batches(closed: np.ndarray, still_open: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _range_batches(closed: np.ndarray, still_open: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
     for kind, rows in ((CLOSED, closed), (OPEN, still_open)):
         if len(rows):
             keys, group, a, b = _by_document(rows)
             out = np.empty(len(a), RANGE)
             out["d"], out["t"], out["a"], out["b"] = keys["d"][group], keys["t"][group], a, b
-            yield _packed(out, out["d"], kind)
+            yield _packed(out, out["d"], kind, bits)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +226,7 @@ def _windows(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sieve_map(length: int):
+def _sieve_map(length: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
 
@@ -235,8 +235,8 @@ def _sieve_map(length: int):
             several = _per_bucket(content, bucket) > 1
             sent = rows[bucket]  # one for each bucket
             sent["many"] = several[bucket]
-            yield _packed(sent, sent["h"], SENT)
-            yield from _range_batches(_removed(rows[~content], length), _windows(rows[content & several]))
+            yield _packed(sent, sent["h"], SENT, bits)
+            yield from _range_batches(_removed(rows[~content], length), _windows(rows[content & several]), bits)
 
         for batch in batches:
             d, t = batch.column("d").to_numpy(), batch.column("t").to_numpy()
@@ -259,7 +259,7 @@ def _sieve_map(length: int):
     return run
 
 
-def _meet(dtype: np.dtype, length: int):
+def _meet(dtype: np.dtype, length: int, bits: int):
     """Sorts what tasks have sent; whole partitions, whose size the number of tasks bounds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -280,21 +280,21 @@ def _meet(dtype: np.dtype, length: int):
         if "many" in dtype.names:
             many = rows["many"] > 0  # their tasks have opened all their runs already
             alike = (_per_bucket(content, bucket) == 1) & (_per_bucket(many, bucket) == 0)
-            yield from _range_batches(_removed(rows[alike & ~content], length), _windows(rows[~alike & ~many]))
+            yield from _range_batches(_removed(rows[alike & ~content], length), _windows(rows[~alike & ~many]), bits)
         else:
-            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE))
+            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE), bits)
 
     return run
 
 
-def _window_map(length: int, slices: int, current: int):
+def _window_map(length: int, slices: int, current: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
 
         def flush():
             rows, _, content = _sorted(np.concatenate(held))
-            yield _packed(rows[content], rows["h"][content], SENT)
-            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE))
+            yield _packed(rows[content], rows["h"][content], SENT, bits)
+            yield from _range_batches(_removed(rows[~content], length), np.empty(0, RANGE), bits)
 
         for batch in batches:
             columns = [batch.column(n) for n in ("d", "t", "text", "starts", "ends")]
@@ -328,19 +328,20 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, slices: int = WINDOW_
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 30 * RUN.itemsize // TASK_BYTES)
+    bits = max(BUCKET_BITS, (4 * tasks).bit_length())  # several buckets for each task
 
     def met(rows: DataFrame, dtype: np.dtype) -> DataFrame:
-        return rows.repartition(tasks, "bucket").mapInArrow(_meet(dtype, length), PACKED)
+        return rows.repartition(tasks, "bucket").mapInArrow(_meet(dtype, length, bits), PACKED)
 
     def gathered(ranges: DataFrame) -> DataFrame:
         return ranges.repartition(tasks, "bucket").mapInArrow(_gather, "d long, t int, starts array<int>, ends array<int>")
 
-    first = freeze(met(docs.where(F.octet_length("text") >= length).mapInArrow(_sieve_map(length), PACKED), RUN))
+    first = freeze(met(docs.where(F.octet_length("text") >= length).mapInArrow(_sieve_map(length, bits), PACKED), RUN))
     opened = freeze(docs.join(gathered(first.where(F.col("kind") == OPEN)), ["d", "t"]))
     target = new_folder(spark, "ranges")
     with shuffle_cleanup(spark):
         for current in range(slices):
-            met(opened.mapInArrow(_window_map(length, slices, current), PACKED), WINDOW).write.mode("append").parquet(target)
+            met(opened.mapInArrow(_window_map(length, slices, current, bits), PACKED), WINDOW).write.mode("append").parquet(target)
     second = spark.read.schema(PACKED).parquet(target)
     return gathered(first.where(F.col("kind") == CLOSED).unionByName(second))
 
