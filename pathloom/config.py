@@ -9,6 +9,9 @@ from dataclasses import dataclass, replace
 # list of hot groups that is broadcast (100 TB of 40-byte rows: about 600 000 entries).
 HOT_ROWS = 4_000_000
 
+# As ``hot_rows`` or ``hot_copies``: no group can be hot, so none is looked for.
+NO_HOT_ROWS = 1 << 62
+
 # Rows per piece of a hot group, without its overlap with the next piece.
 SEGMENT_ROWS = 1_000_000
 

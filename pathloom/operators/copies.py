@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.config import NO_HOT_ROWS
+
 PERSON = ["dataset", "split", "pedestrian"]
 
 
@@ -20,6 +22,8 @@ def copies(tracks: DataFrame, most: int) -> DataFrame | None:
     Tracks are equal if their number of rows and two independent 64-bit hash sums of their
     rows are. The sums combine on the map side, and only one row per pedestrian is moved.
     """
+    if most >= NO_HOT_ROWS:
+        return None
     total = lambda *columns: F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
     prints = tracks.groupBy(*PERSON).agg(F.count("*").alias("_n"), total("frame", "x", "y").alias("_a"),
                                          total(F.lit(1), "y", "x", "frame").alias("_b"))

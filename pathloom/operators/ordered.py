@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathloom.config import HOT_ROWS, SEGMENT_ROWS
+from pathloom.config import HOT_ROWS, NO_HOT_ROWS, SEGMENT_ROWS
 from pathloom.storage import broadcast_if_small, freeze
 
 # Blocks of blocks: one upper-level window holds at most this power of two of them.
@@ -31,13 +31,12 @@ def hot_groups(rows: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame
 
     Counting reads the key columns only and combines on the map side. At most (all rows /
     hot_rows) groups qualify; the list is still counted before it is broadcast, for
-    settings that make it long.
+    settings that make it long. With ``NO_HOT_ROWS`` nothing is counted.
     """
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > hot_rows).persist()
-    if sizes.isEmpty():
-        sizes.unpersist()
+    if hot_rows >= NO_HOT_ROWS:
         return None
-    return broadcast_if_small(sizes)
+    sizes = freeze(rows.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > hot_rows))
+    return None if sizes.isEmpty() else broadcast_if_small(sizes)
 
 
 def _block_offsets(blocks: DataFrame, group: list[str], names: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathloom.config import SceneConfig
+from pathloom.config import NO_HOT_ROWS, SceneConfig
 from pathloom.operators.frames import split_frames
 from pathloom.operators.kinds import path_kind, short_test_scenes, type_scenes
 from pathloom.operators.scenes import cut_scenes, kept_frames, scene_rows, tracks_of_frames, with_paths, with_public_test
@@ -32,16 +32,24 @@ class SceneSet:
         write_ndjson(self.scenes, self.tracks, folder)
 
 
-def prepare(tracks: DataFrame, config: SceneConfig) -> tuple[DataFrame, DataFrame]:
+def prepare(tracks: DataFrame, config: SceneConfig, stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """Split by frame, cut and number scenes: (tracks with their split, scenes).
 
-    The tracks are read by several steps, so they are stored once, already parsed. The
+    The tracks are read by several steps, so they are stored once, already parsed, unless they
+    are a ``stored`` table. The
     part of the type that a path alone decides is stored with the scenes.
     """
-    split = split_frames(freeze(tracks), config)
+    split = split_frames(tracks if stored else freeze(tracks), config)
     return split, scene_rows(cut_scenes(split, config).withColumn("path_kind", path_kind(config)), config)
 
 
+def sized(config: SceneConfig, rows: int) -> SceneConfig:
+    """The settings for a table of so many rows: where no group in it can be hot, none is looked
+    for. A step repeats a row at most once, for the public test twin."""
+    return config.but(hot_rows=NO_HOT_ROWS if 2 * rows <= config.hot_rows else config.hot_rows,
+                      hot_copies=NO_HOT_ROWS if rows <= config.hot_copies else config.hot_copies)
+
+
 def publish(scenes: DataFrame, split: DataFrame, config: SceneConfig) -> SceneSet:
     """The scenes with the public test twin, and the tracks any of them shows."""
     published = with_public_test(scenes)
@@ -84,7 +92,9 @@ def require_test_length(published: SceneSet, config: SceneConfig) -> SceneSet:
 
 def convert(tracks: DataFrame, config: SceneConfig, forecasts: DataFrame | None = None) -> SceneSet:
     """The whole conversion: tracks in, published scenes and tracks out."""
-    split, scenes = prepare(tracks, config)
+    tracks = freeze(tracks)
+    config = sized(config, tracks.count())
+    split, scenes = prepare(tracks, config, stored=True)
     chosen = select(require_scenes(scenes, split if config.require_parts else None), split, config, forecasts)
     return require_test_length(publish(chosen, split, config), config)
 

@@ -75,5 +75,5 @@ def test_no_driver_loops_in_the_library():
         text = file.read_text()
         for word in ("toLocalIterator", ".toPandas(", "localCheckpoint", ".rdd", "crossJoin", "rand()"):
             assert word not in text.replace("``rand()``", ""), (file, word)
-        if file.parent.name != "catalog":
+        if file.parent.name not in ("catalog", "llm"):  # llm collects samples and sizes with a bound
             assert ".collect()" not in text, file
