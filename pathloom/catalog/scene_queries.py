@@ -29,10 +29,12 @@ def op_windows(spark, sf_dir):
     return ends(rows, "row_no", total("frame", "bigint").alias("frame_sum"), F.round(total("x", "double"), 6).alias("x_sum"))
 
 
-@query("op_min_move", sql("cand", "SELECT dataset, split, pedestrian, row_no, start, stop FROM cand WHERE moved"))
+@query("op_min_move", sql("cand", """SELECT dataset, split, pedestrian, row_no, start, stop FROM cand
+    WHERE (path[1].x - path[21].x) * (path[1].x - path[21].x) + (path[1].y - path[21].y) * (path[1].y - path[21].y) > 4"""))
 def op_min_move(spark, sf_dir):
+    """Two metres at least: everybody here moves a little."""
     rows = S.path_windows(split_tracks(spark, sf_dir), CONFIG.chunk_size, CONFIG.chunk_stride)
-    return ends(rows.where(S.moved(CONFIG)), "row_no")
+    return ends(rows.where(S.moved(CONFIG.but(min_length=4.0))), "row_no")
 
 
 @query("op_continuous", sql("cand", "SELECT dataset, split, pedestrian, row_no, start, stop FROM cand WHERE is_continuous"))

@@ -12,7 +12,7 @@ from pathloom.functions.draws import jitter
 from pathloom.functions.text import clock_frame, path_id, tokens
 from pathloom.operators.frames import stride_frame
 from pathloom.operators.ordered import piece_window, segments
-from pathloom.operators.pairs import scene_paths
+from pathloom.operators.pairs import noisy_observations, scene_paths
 from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
 from pathloom.sinks import writers as W
 from pathloom.sources import files as X
@@ -192,15 +192,39 @@ def src_ndjson_tracks(spark, sf_dir):
     return T.parse_ndjson_tracks(lines(spark, sf_dir, NDJSON))
 
 
-@query("src_scene_paths", sql("own_kind", f"""SELECT dataset, split, scene, pedestrian, true AS is_primary, t, frame, x, y FROM p UNION ALL
+_OWN = "SELECT dataset, split, scene, pedestrian, i - 1 AS t, path[i].frame AS frame, path[i].x AS x, path[i].y AS y FROM sc, range(1, 22) AS places(i)"
+_ALL = """SELECT dataset, split, scene, pedestrian, true AS is_primary, t, frame, x, y FROM p UNION ALL
     SELECT p.dataset, p.split, p.scene, o.pedestrian, false, t, p.frame, o.x, o.y FROM p JOIN st o
-      ON o.dataset = p.dataset AND o.split = p.split AND o.frame = p.frame AND o.pedestrian <> p.pedestrian
-    WHERE (p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y) <= 25""",
-    p="SELECT dataset, split, scene, pedestrian, i - 1 AS t, path[i].frame AS frame, path[i].x AS x, path[i].y AS y FROM sc, range(1, 22) AS places(i)"))
+      ON o.dataset = p.dataset AND o.split = p.split AND o.frame = p.frame AND o.pedestrian <> p.pedestrian"""
+
+
+@query("src_scene_paths", sql("own_kind", _ALL, p=_OWN))
 def src_scene_paths(spark, sf_dir):
+    """Everybody in the frames of a scene."""
+    return scene_paths(scenes(spark, sf_dir), split_tracks(spark, sf_dir))
+
+
+@query("src_scene_near", sql("own_kind", f"{_ALL} WHERE (p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y) <= 25", p=_OWN))
+def src_scene_near(spark, sf_dir):
+    """Those within five metres of the primary."""
     return scene_paths(scenes(spark, sf_dir), split_tracks(spark, sf_dir), radius=5.0)
 
 
+def _draw(*key: str) -> str:
+    text = ", ".join(["'42'", *[f"CAST({k} AS VARCHAR)" for k in key]])
+    return f"(CAST(CAST('0x' || substr(md5(concat_ws(':', {text})), 1, 8) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE) * {real(0.01)} - {real(0.005)})"
+
+
+_KEY = ("dataset", "scene", "pedestrian", "t", "iter")
+
+
+@query("op_observations", sql("own_kind", f"""SELECT dataset, split, scene, pedestrian, iter, t, frame, round(x + {_draw(*_KEY, "'x'")}, 6) AS x, round(y + {_draw(*_KEY, "'y'")}, 6) AS y
+    FROM ({_ALL}), (VALUES (0), (1)) AS iters(iter) WHERE t < 9""", p=_OWN))
+def op_observations(spark, sf_dir):
+    found = noisy_observations(scenes(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG, iterations=2)
+    return rounded(found, "x", "y")
+
+
 GOALS_SQL = "SELECT dataset, pedestrian, max_by(x, frame) AS gx, max_by(y, frame) AS gy FROM tracks GROUP BY dataset, pedestrian"
 
 
@@ -385,5 +409,6 @@ def fn_turn(spark, sf_dir):
     CAST(CAST('0x' || substr(md5(concat_ws(':', '42', dataset, CAST(pedestrian AS VARCHAR), CAST(frame AS VARCHAR), 'x')), 1, 8) AS BIGINT) AS DOUBLE)
     / CAST(4294967296 AS DOUBLE) AS u FROM tracks)"""))
 def fn_jitter(spark, sf_dir):
+    """One axis; both are in ``op_observations``."""
     return tracks(spark, sf_dir).select("dataset", "pedestrian", "frame", F.round(
         jitter(F.col("x"), 0.005, 42, F.col("dataset"), F.col("pedestrian"), F.col("frame"), "x"), 6).alias("x"))

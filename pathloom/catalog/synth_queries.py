@@ -11,16 +11,16 @@ from pathloom.catalog.base import query, real, rounded, sql, walk
 from pathloom.catalog.source_queries import MIDPOINT_SQL, station_lines
 from pathloom.operators import synth as Y
 from pathloom.operators.ordered import segments
-from pathloom.operators.resample import SCALE_X, SCALE_Y, _with_sizes, midpoints, resample_linear
+from pathloom.operators.resample import SCALE_X, SCALE_Y, midpoints, resample
 from pathloom.plans.synthetic import crowd_tracks
 from pathloom.sources.files import station_points
 
 SIM = """SELECT CASE WHEN (pedestrian // 5) % 3 = 0 THEN 'plaza' ELSE 'street' END AS dataset, pedestrian // 5 AS scene, pedestrian % 5 AS pedestrian,
     row_number() OVER (PARTITION BY pedestrian ORDER BY frame) - 1 AS step,
     CAST(xc AS DOUBLE) / CAST(400 AS DOUBLE) AS x, CAST(yc AS DOUBLE) / CAST(400 AS DOUBLE) AS y, pedestrian % 3 AS lag_steps FROM walk"""
-# A goal is where the pedestrian is a few steps before its scene's 41st, so that some scenes
-# end with all at their goals.
-GOALS = """SELECT dataset, scene, pedestrian, max(CASE WHEN step = 40 - lag_steps THEN x END) AS gx, max(CASE WHEN step = 40 - lag_steps THEN y END) AS gy
+# A goal is where the pedestrian is a few steps before its scene's 41st, so that most scenes
+# end with all at their goals; in every fourth it is far away.
+GOALS = """SELECT dataset, scene, pedestrian, max(CASE WHEN step = 40 - lag_steps THEN x END) + CASE WHEN scene % 4 = 3 THEN 100 ELSE 0 END AS gx, max(CASE WHEN step = 40 - lag_steps THEN y END) AS gy
     FROM sim GROUP BY dataset, scene, pedestrian"""
 NEAR = """SELECT sim.*, (x - gx) * (x - gx) + (y - gy) * (y - gy) < 1 AS reached FROM sim JOIN goals USING (dataset, scene, pedestrian)"""
 FIRST = "SELECT dataset, scene, pedestrian, min(step) AS first FROM near WHERE reached AND step > 0 GROUP BY ALL"
@@ -37,7 +37,8 @@ def _turns(rows: str) -> str:
 
 
 SIZES = "SELECT dataset, scene, coalesce(sum(n) OVER (PARTITION BY dataset ORDER BY scene ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shift FROM (SELECT dataset, scene, count(DISTINCT pedestrian) AS n FROM sim GROUP BY ALL)"
-STARTS = f"""SELECT dataset, scene, pedestrian, x, y, -x AS gx, -y AS gy FROM sim WHERE step = 0"""
+# Starts lie half as far apart, so that some are too near each other.
+STARTS = """SELECT dataset, scene, pedestrian, x / 2 AS x, y / 2 AS y, -x / 2 AS gx, -y / 2 AS gy FROM sim WHERE step = 0"""
 
 
 def sim(spark, sf_dir):
@@ -51,7 +52,7 @@ def sim(spark, sf_dir):
 
 def aims(spark, sf_dir):
     at = F.when(F.col("step") == 40 - F.col("lag_steps"), F.struct("x", "y"))
-    return sim(spark, sf_dir).groupBy(*Y.AGENT).agg(F.max(at).alias("p")).select(*Y.AGENT, F.col("p.x").alias("gx"), F.col("p.y").alias("gy"))
+    return sim(spark, sf_dir).groupBy(*Y.AGENT).agg(F.max(at).alias("p")).select(*Y.AGENT, (F.col("p.x") + F.when(F.col("scene") % 4 == 3, 100).otherwise(0)).alias("gx"), F.col("p.y").alias("gy"))
 
 
 def agents(spark, sf_dir):
@@ -77,9 +78,9 @@ def op_turns(spark, sf_dir):
 
 @query("op_valid_scenes", sql("walk", f"SELECT dataset, scene FROM done JOIN smooth USING (dataset, scene) WHERE done AND smooth",
                               sim=SIM, goals=GOALS, near=NEAR, first=FIRST, trimmed=TRIMMED, there=THERE, done=DONE,
-                              thin="SELECT * FROM trimmed WHERE step > 0 AND (step - 1) % 16 = 0", smooth=_turns("thin")))
+                              thin="SELECT * FROM trimmed WHERE step > 0 AND (step - 1) % 4 = 0", smooth=_turns("thin")))
 def op_valid_scenes(spark, sf_dir):
-    return Y.valid_scenes(agents(spark, sf_dir), aims(spark, sf_dir), rate=16)
+    return Y.valid_scenes(agents(spark, sf_dir), aims(spark, sf_dir), rate=4)
 
 
 @query("op_done", sql("walk", "SELECT * FROM done", sim=SIM, goals=GOALS, near=NEAR, there=THERE, done=DONE))
@@ -98,16 +99,17 @@ def op_offset_ids(spark, sf_dir):
     WHERE a.pedestrian < b.pedestrian AND ((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y) < 4 OR (b.x - a.gx) * (b.x - a.gx) + (b.y - a.gy) * (b.y - a.gy) < 4)""",
     sim=SIM, starts=STARTS))
 def op_start_clash(spark, sf_dir):
-    starts = agents(spark, sf_dir).where("step = 0").withColumn("gx", -F.col("x")).withColumn("gy", -F.col("y"))
+    starts = agents(spark, sf_dir).where("step = 0").withColumn("x", F.col("x") / 2).withColumn("y", F.col("y") / 2)
+    starts = starts.withColumn("gx", -F.col("x")).withColumn("gy", -F.col("y"))
     return Y.start_clashes(starts)
 
 
-@query("pl_synthetic", sql("walk", """SELECT dataset, (step - 1) // 40 AS frame, CAST(pedestrian + shift AS BIGINT) AS pedestrian, x, y
+@query("pl_synthetic", sql("walk", """SELECT dataset, (step - 1) // 4 AS frame, CAST(pedestrian + shift AS BIGINT) AS pedestrian, x, y
     FROM thin JOIN done USING (dataset, scene) JOIN smooth USING (dataset, scene) JOIN sizes USING (dataset, scene) WHERE done AND smooth""",
     sim=SIM, goals=GOALS, near=NEAR, first=FIRST, trimmed=TRIMMED, there=THERE, done=DONE,
-    thin="SELECT * FROM trimmed WHERE step > 0 AND (step - 1) % 40 = 0", smooth=_turns("thin"), sizes=SIZES))
+    thin="SELECT * FROM trimmed WHERE step > 0 AND (step - 1) % 4 = 0", smooth=_turns("thin"), sizes=SIZES))
 def pl_synthetic(spark, sf_dir):
-    return crowd_tracks(agents(spark, sf_dir), aims(spark, sf_dir))[0]
+    return crowd_tracks(agents(spark, sf_dir), aims(spark, sf_dir), rate=4)[0]
 
 
 @query("op_midpoint", MIDPOINT_SQL)
@@ -115,13 +117,26 @@ def op_midpoint(spark, sf_dir):
     return midpoints(station_points(station_lines(spark, sf_dir)))
 
 
-@query("op_resample", sql("walk", """SELECT dataset, frame, pedestrian, round((x2 - x) / (f2 - f) * (frame - f) + x, 6) AS x, round((y2 - y) / (f2 - f) * (frame - f) + y, 6) AS y
-    FROM (SELECT *, unnest(generate_series(CASE WHEN f = first THEN f // 10 * 10 + 10 ELSE CAST(ceil(f / 10) AS BIGINT) * 10 END, f2 - 1, 10)) AS frame FROM spans WHERE f2 IS NOT NULL)""",
-    points=f"SELECT 'walk' AS dataset, pedestrian, frame + event_id % 7 AS f, CAST(xc AS DOUBLE) * {real(SCALE_X)} AS x, CAST(yc AS DOUBLE) * {real(SCALE_Y)} AS y FROM walk",
-    spans="SELECT *, min(f) OVER (PARTITION BY pedestrian) AS first, lead(f) OVER w AS f2, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM points WINDOW w AS (PARTITION BY pedestrian ORDER BY f)"))
+# Persons with 1, 2, 5, 6 and all of their control points, which lie on a cubic curve of the
+# time; the spline gives the curve itself, few points give the lines between them.
+_T = "(f - first) / CAST(100 AS DOUBLE)"
+CURVE = {"x": "3 + 2 * s - CAST('0.5' AS DOUBLE) * s * s + CAST('0.1' AS DOUBLE) * s * s * s", "y": "1 - s + CAST('0.05' AS DOUBLE) * s * s * s"}
+
+
+@query("op_resample", sql("walk", f"""SELECT dataset, frame, pedestrian, round(CASE WHEN n <= 5 THEN (x2 - x) / (f2 - f) * (frame - f) + x ELSE {real(SCALE_X)} * ({CURVE['x']}) END, 4) AS x,
+      round(CASE WHEN n <= 5 THEN (y2 - y) / (f2 - f) * (frame - f) + y ELSE {real(SCALE_Y)} * ({CURVE['y']}) END, 4) AS y
+    FROM (SELECT *, (frame - first) / CAST(100 AS DOUBLE) AS s FROM (
+      SELECT *, unnest(generate_series(CASE WHEN f = first THEN f // 10 * 10 + 10 ELSE CAST(ceil(f / 10) AS BIGINT) * 10 END, f2 - 1, 10)) AS frame FROM spans WHERE f2 IS NOT NULL))""",
+    numbered="SELECT *, row_number() OVER (PARTITION BY pedestrian ORDER BY frame) AS rn FROM walk",
+    times="""SELECT 'walk' AS dataset, pedestrian, frame + event_id % 7 AS f, min(frame + event_id % 7) OVER (PARTITION BY pedestrian) AS first, count(*) OVER (PARTITION BY pedestrian) AS n
+        FROM numbered WHERE rn <= [1, 2, 5, 6, 1000000][CAST(pedestrian % 5 AS INTEGER) + 1]""",
+    points=f"SELECT *, {real(SCALE_X)} * ({CURVE['x']}) AS x, {real(SCALE_Y)} * ({CURVE['y']}) AS y FROM (SELECT *, {_T} AS s FROM times)",
+    spans="SELECT * EXCLUDE (s), lead(f) OVER w AS f2, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM points WINDOW w AS (PARTITION BY pedestrian ORDER BY f)"))
 def op_resample(spark, sf_dir):
-    """Straight lines for everybody; splines are in ``src_crowds`` and the tests."""
-    points = walk(spark, sf_dir).select(
-        F.lit("walk").alias("dataset"), "pedestrian", (F.col("frame") + F.col("event_id") % 7).alias("f"),
-        (F.col("xc").cast("double") * SCALE_X).alias("x"), (F.col("yc").cast("double") * SCALE_Y).alias("y"))
-    return rounded(resample_linear(_with_sizes(points)), "x", "y")
+    rows = segments(walk(spark, sf_dir), ["pedestrian"], "frame").withColumn("f", F.col("frame") + F.col("event_id") % 7)
+    rows = rows.where(F.col("row_no") <= F.element_at(F.lit([1, 2, 5, 6, 1000000]), (F.col("pedestrian") % 5 + 1).cast("int")))
+    first = rows.groupBy("pedestrian").agg(F.min("f").alias("first"))
+    times = rows.join(first, "pedestrian").withColumn("s", F.expr(_T))
+    points = times.select(F.lit("walk").alias("dataset"), "pedestrian", *[F.expr(c).alias(n) for n, c in CURVE.items()], "f")
+    found = resample(points)
+    return found.select("dataset", "frame", "pedestrian", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.config import SceneConfig
+from pathloom.functions.draws import jitter
 from pathloom.functions.geometry import dist2, grid_cell
 
 SCENE = ("dataset", "split", "scene", "pedestrian")
@@ -55,6 +57,19 @@ def scene_paths(scenes: DataFrame, tracks: DataFrame, radius: float | None = Non
     return own.unionByName(others.withColumn("is_primary", F.lit(False)).select(*columns))
 
 
+def noisy_observations(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, iterations: int = 5, thresh: float = 0.005,
+                       radius: float | None = None) -> DataFrame:
+    """What a re-simulation starts from: the observed rows of a scene (``scene_paths`` of its
+    first ``obs_len`` places) once per iteration, both axes moved by at most ``thresh``. The
+    draws hash dataset, scene, pedestrian, place, iteration and axis."""
+    seen = scene_paths(scenes.withColumn("path", F.slice("path", 1, config.obs_len)), tracks, radius)
+    rows = seen.withColumn("iter", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))))
+    key = [F.col(c) for c in ("dataset", "scene", "pedestrian", "t", "iter")]
+    moved = {axis: jitter(F.col(axis), thresh, config.seed, *key, axis).alias(axis) for axis in ("x", "y")}
+    return rows.select("dataset", "split", "scene", "pedestrian", "iter", "t", "frame", moved["x"], moved["y"])
+
+
+
 def nearby(steps: DataFrame, others: DataFrame, radius: float, on: Sequence[str] = FRAME) -> DataFrame:
     """Pairs of a step and another pedestrian at most ``radius`` away in the same frame.
 
