@@ -24,12 +24,12 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # in a hundred words
 
-SKETCH_K = 400
+SKETCH_K = 2048  # a sketch of so many values is exact
 LEAST_GROUP = 200  # texts that a group's own fences need
 FENCE = 4.0  # times the distance of the quartiles
 
 # Measure: least distance of the quartiles that is assumed, and whether it has a lower fence.
-MEASURES = {"symbol_share": (0.05, False), "dup_line_share": (0.05, False), "repeat_share": (0.08, False), "word_length": (0.4, True)}
+MEASURES = {"symbol_share": (0.05, False), "dup_line_share": (0.1, False), "repeat_share": (0.08, False), "word_length": (0.4, True)}
 
 
 def _windows(words: Column) -> Column:

@@ -12,7 +12,7 @@ from pathloom.llm.html_text import main_text
 from pathloom.llm.neighbours import nearest_neighbours
 from pathloom.llm.packing import pack
 from pathloom.llm.pieces import encode_decode
-from pathloom.llm.quality import quality
+from pathloom.llm.quality import FENCE, LEAST_GROUP, MEASURES, quality
 from pathloom.llm.secret_scan import scan_secrets
 from pathloom.llm.simhash import near_duplicates
 from pathloom.llm.suffix_dedup import remove_repeats
@@ -96,6 +96,49 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality(_table(spark, folder, "documents"))
 
 
+def _fences_sql(keys: str, least: int) -> str:
+    """The fences of a level; the KLL sketches are exact on as few texts as SQL is run on."""
+    found = []
+    for name, (width, lower) in MEASURES.items():
+        low, high = f"quantile_disc({name}, 0.25)", f"quantile_disc({name}, 0.75)"
+        spread = f"CAST('{FENCE}' AS DOUBLE) * greatest({high} - {low}, CAST('{width}' AS DOUBLE))"
+        found.append(f"{low} - {spread} AS {name}_low" if lower else f"CAST('-inf' AS DOUBLE) AS {name}_low")
+        found.append(f"{high} + {spread} AS {name}_high")
+    return f"SELECT {keys} {', '.join(found)} FROM good GROUP BY ALL HAVING count(*) >= {least}"
+
+
+_WITHIN = " AND ".join(f"coalesce({n} BETWEEN coalesce(g.{n}_low, l.{n}_low, w.{n}_low) AND coalesce(g.{n}_high, l.{n}_high, w.{n}_high), true)" for n in MEASURES)
+
+OP7_SQL = rf"""
+WITH texts AS (SELECT row_number() OVER () AS n, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+split AS (
+    SELECT n, doc_id, lang, source, t, regexp_extract_all(t, '[^ 	-]+') AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM texts),
+windows AS (SELECT n, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three FROM (SELECT n, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
+twice AS (SELECT n, i FROM windows QUALIFY count(*) OVER (PARTITION BY n, three) > 1),
+inside AS (SELECT n, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS places(k) GROUP BY n),
+counts AS (
+    SELECT n, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+           CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+    FROM split LEFT JOIN inside USING (n)),
+measured AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           CASE WHEN n_words > 0 THEN n_symbols / n_words END AS symbol_share, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines END AS dup_line_share,
+           CASE WHEN n_words > 0 THEN n_repeat_words / n_words END AS repeat_share, CASE WHEN n_words > 0 THEN word_chars / n_words END AS word_length
+    FROM counts),
+good AS (SELECT * FROM measured WHERE NOT base_failed),
+g AS ({_fences_sql("lang, source,", LEAST_GROUP)}),
+l AS ({_fences_sql("lang,", LEAST_GROUP)}),
+w AS ({_fences_sql("", 1)})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_WITHIN} AS kept, {", ".join(MEASURES)}
+FROM measured m
+LEFT JOIN g ON m.lang IS NOT DISTINCT FROM g.lang AND m.source IS NOT DISTINCT FROM g.source
+LEFT JOIN l ON m.lang IS NOT DISTINCT FROM l.lang
+LEFT JOIN w ON true
+"""
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeats(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), "n_spans",
@@ -126,4 +169,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_url_rules": OP2_SQL,
     "op5_warc": OP5_SQL,
+    "op7_quality": OP7_SQL,
 }
