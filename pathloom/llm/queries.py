@@ -112,8 +112,10 @@ _WITHIN = " AND ".join(f"coalesce({n} BETWEEN coalesce(g.{n}_low, l.{n}_low, w.{
 OP7_SQL = rf"""
 WITH texts AS (SELECT row_number() OVER () AS n, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 split AS (
-    SELECT n, doc_id, lang, source, t, regexp_extract_all(t, '[^ 	-]+') AS w,
-           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM texts),
+    SELECT n, doc_id, lang, source, t, regexp_extract_all(t, '[^ 	-
+]+') AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM texts),
 windows AS (SELECT n, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS three FROM (SELECT n, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
 twice AS (SELECT n, i FROM windows QUALIFY count(*) OVER (PARTITION BY n, three) > 1),
 inside AS (SELECT n, count(DISTINCT i + k) AS n_repeat_words FROM twice, (VALUES (0), (1), (2)) AS places(k) GROUP BY n),
@@ -145,6 +147,24 @@ def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+OP8_SQL = """
+WITH bytes AS (SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT n, doc_id, i, md5_number(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT n, doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM bytes)),
+again AS (SELECT n, i FROM strings QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+marked AS (SELECT n, i, CASE WHEN i <= lag(i) OVER (PARTITION BY n ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM again),
+grouped AS (SELECT n, i, sum(fresh) OVER (PARTITION BY n ORDER BY i) AS span FROM marked),
+spans AS (SELECT n, min(i) AS a, max(i) + 100 AS b FROM grouped GROUP BY n, span),
+before AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY n ORDER BY a), 0) AS since FROM spans),
+removed AS (
+    SELECT n, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS until,
+           string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept
+    FROM before JOIN bytes USING (n) GROUP BY n)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * until + 1), h))) AS kept_sha256
+FROM bytes LEFT JOIN removed USING (n)
+"""
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -170,4 +190,5 @@ ORACLES: dict[str, str] = {
     "op2_url_rules": OP2_SQL,
     "op5_warc": OP5_SQL,
     "op7_quality": OP7_SQL,
+    "op8_suffix_dedup": OP8_SQL,
 }

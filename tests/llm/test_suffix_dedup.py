@@ -5,7 +5,8 @@ import numpy as np
 import pytest
 
 from pathloom.llm import suffix_dedup as S
-from pathloom.llm.queries import op8_suffix_dedup
+from pathloom.llm.queries import ORACLES, op8_suffix_dedup
+from tools.check_queries import table
 
 
 def plain(docs, length=100):
@@ -98,3 +99,11 @@ def test_nulls_repeated_rows_and_ties(spark):
     assert cut == sorted([(1, text, 180), (1, text, 180), (2, None, None), (None, "", 0), (3, tail, 60), (None, None, 7), (4, "ok", 2)], key=repr)
     assert S.remove_repeats(docs.limit(0)).collect() == [] and S.cut_repeats(docs.limit(0)).collect() == []
     assert S.kept_bytes(b"0123456789", [5, 1, 3], [7, 3, 4]) == (b"04789", 2)
+
+
+def test_query_agrees_with_sql(spark, con, small):
+    found = op8_suffix_dedup(spark, small)
+    want = con.execute(ORACLES["op8_suffix_dedup"])
+    columns = [d[0] for d in want.description]
+    assert sorted(columns) == sorted(found.columns)
+    assert table(found.collect(), found.columns) == table(want.fetchall(), columns)
