@@ -28,7 +28,7 @@ TREES = 12
 LEAF = 256  # sampled rows per leaf at most
 SAMPLE = 50_000  # rows that the trees are fitted on at most
 SEARCH = 6_000  # rows that the leaves of a query hold at least, and as a share of all rows;
-SEARCH_SHARE = 0.75  # trees overlap, so they hold fewer different ones
+SEARCH_SHARE = 0.9  # trees overlap, so they hold fewer different ones
 MEANS_ROWS, MEANS_ROUNDS = 200, 6
 NEAREST = 10
 BLOCK_ROWS = 4_096
