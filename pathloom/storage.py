@@ -40,9 +40,29 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+# Folders to delete, one list for each open ``scratch`` block.
+_scratch: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was stored inside. Results are lazy and read it, so they have to
+    be written before the block ends."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for folder in _scratch.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, name: str = "pathloom") -> str:
     """A folder of its own below the shared one."""
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scratch:
+        _scratch[-1].append(folder)
+    return folder
 
 
 def freeze(rows: DataFrame) -> DataFrame:

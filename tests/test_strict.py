@@ -1,6 +1,7 @@
 """What must not be lost without a word, and rules that hold for every size of table."""
 
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -18,7 +19,7 @@ from pathloom.sinks.writers import write_ndjson, write_tables
 from pathloom.sources import files
 from pathloom.sources.lines import parse_lines
 from pathloom.sources.tables import ndjson_parts, parse_ndjson_scenes
-from pathloom.storage import freeze
+from pathloom.storage import freeze, scratch, work_folder
 
 CONFIG = SceneConfig()
 
@@ -147,3 +148,14 @@ def test_folders_get_few_files(spark, tmp_path):
     write_tables(spark.createDataFrame(data, "dataset string, split string, n long").repartition(16), str(tmp_path / "t"))
     for folder in (tmp_path / "t").glob("dataset=*/split=*"):
         assert len(list(folder.glob("*.parquet"))) <= 2
+
+
+def test_scratch_leaves_only_what_was_written(spark, crowd, tmp_path):
+    place = Path(work_folder(spark).removeprefix("file:"))
+    before = set(place.iterdir())
+    with scratch(spark):
+        result = convert(crowd, CONFIG)
+        result.write(str(tmp_path / "out"))
+        assert set(place.iterdir()) - before
+    assert set(place.iterdir()) == before
+    assert spark.read.parquet(str(tmp_path / "out" / "scenes")).count() > 0
