@@ -159,7 +159,6 @@ class _Source:
 
 CHUNKS = ("record_id long, url string, record_type string, refers_to long, declared string, chunk_no int, is_last boolean, "
           "n_bytes long, digest string, data binary")
-_NAMES = [c.strip().split()[0] for c in CHUNKS.split(",")]
 _TYPES = pa.schema([("record_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("declared", pa.string()),
                     ("chunk_no", pa.int32()), ("is_last", pa.bool_()), ("n_bytes", pa.int64()), ("digest", pa.string()), ("data", pa.binary())])
 
