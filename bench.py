@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from pathloom.catalog import adapter, base
 from pathloom.catalog.queries import QUERIES
-from pathloom.catalog.source_queries import BIWI
 from pathloom.operators import kinds as K
 from pathloom.operators import scenes as S
 from pathloom.operators.frames import frame_stats, split_frames

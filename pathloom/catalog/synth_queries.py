@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pathloom.catalog.base import query, real, rounded, sql, walk
+from pathloom.catalog.base import query, real, sql, walk
 from pathloom.catalog.source_queries import MIDPOINT_SQL, station_lines
 from pathloom.operators import synth as Y
 from pathloom.operators.ordered import segments
