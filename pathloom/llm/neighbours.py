@@ -7,8 +7,9 @@ far it lies on the wrong side of the splits on the way, and takes leaves until t
 rows. Candidates of those leaves are ranked by exact distance; leaves report their nearest few,
 and the reports are merged.
 
-Leaves are cut into blocks of bounded size before vectors meet queries, so a leaf with a third
-of all rows is many small tasks. Only the trees and the numbers of rows in their leaves, both
+Neighbouring leaves of a tree form blocks of bounded size, in which vectors meet queries; a larger
+leaf is cut into several blocks, so one with a third of all rows is many small groups. A block
+reports once for each query that visits any of its leaves. Only the trees and the numbers of rows in their leaves, both
 bounded by the sample, are sent to all tasks.
 """
 
@@ -31,7 +32,7 @@ SEARCH = 6_000  # rows that the leaves of a query hold at least, and as a share
 SEARCH_SHARE = 0.9  # trees overlap, so they hold fewer different ones
 MEANS_ROWS, MEANS_ROUNDS = 200, 6
 NEAREST = 10
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 16_384
 SEED = 11
 
 
@@ -40,9 +41,10 @@ class Forest:
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = SEED):
         self.directions, self.offsets, self.children = [], [], []  # a child below zero is leaf -1 - child
-        self.roots, self.leaves = [], 0
+        self.roots, self.leaves, self.first_leaves = [], 0, []
         rng = np.random.default_rng(seed)
         for _ in range(trees):
+            self.first_leaves.append(self.leaves)
             self.roots.append(self._grow(vectors, np.arange(len(vectors)), leaf, rng))
         width = vectors.shape[1] if vectors.ndim == 2 else 0
         self.directions = np.array(self.directions, np.float64).reshape(-1, width)
@@ -107,6 +109,22 @@ class Forest:
         return found
 
 
+def leaf_blocks(sizes: dict[int, int], first_leaves: list[int], block_rows: int = BLOCK_ROWS) -> dict[int, tuple[int, int]]:
+    """The first block of every leaf and the number of its blocks. Leaves next to each other in
+    one tree share a block while they fit; a larger leaf has blocks of its own."""
+    found, block, room, starts = {}, -1, 0, set(first_leaves)
+    for leaf in range(max(sizes, default=-1) + 1):
+        room = 0 if leaf in starts else room
+        rows = sizes.get(leaf, 0)
+        parts = -(-rows // block_rows)
+        if parts > 1:
+            found[leaf], block, room = (block + 1, parts), block + parts, 0
+        elif parts:
+            block, room = (block, room - rows) if rows <= room else (block + 1, block_rows - rows)
+            found[leaf] = (block, 1)
+    return found
+
+
 def usable(vector: Column) -> Column:
     """Whether a vector takes part: no nulls, only finite numbers, not all zero."""
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
@@ -118,41 +136,49 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 0)
 
 
-def _index(forest, blocks: dict | None):
-    """Rows of (leaf, block, vec_id, vector); with ``blocks`` None only the leaves."""
+def _leaves(forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = forest.value
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(forest.value.leaves_of(_matrix(batch.column("vector"))).ravel())], names=["leaf"])
+
+    return run
+
+
+def _index(forest, blocks):
+    """A row (block, leaf, vec_id, vector) for every tree."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, places = forest.value, blocks.value
         for batch in batches:
             leaves = own.leaves_of(_matrix(batch.column("vector"))).ravel()
-            if blocks is None:
-                yield pa.RecordBatch.from_arrays([pa.array(leaves)], names=["leaf"])
-                continue
             rows = np.repeat(np.arange(batch.num_rows), len(own.roots))
             ids = batch.column("vec_id").to_numpy()[rows]
-            count = np.array([blocks.value.get(int(x), 1) for x in leaves])
+            first, parts = np.array([places[x] for x in leaves.tolist()], np.int64).reshape(-1, 2).T
             with np.errstate(over="ignore"):
-                mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            block = (mixed % count.astype(np.uint64)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(leaves), pa.array(block), pa.array(ids), batch.column("vector").take(pa.array(rows))],
-                                             names=["leaf", "block", "vec_id", "vector"])
+                mixed = ((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((first + mixed % parts).astype(np.int32)), pa.array(leaves), pa.array(ids), batch.column("vector").take(pa.array(rows))],
+                                             names=["block", "leaf", "vec_id", "vector"])
 
     return run
 
 
 def _visits(forest, sizes, blocks, least: int):
+    """A row (block, leaves, vec_id, vector) for every block that a query visits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = forest.value
+        own, places = forest.value, blocks.value
         for batch in batches:
-            leaf, block, at = [], [], []
+            block, leaves, at = [], [], []
             for number, vector in enumerate(_matrix(batch.column("vector"))):
-                for found in own.search(vector, sizes.value, least):
-                    parts = blocks.value.get(found, 1)
-                    leaf += [found] * parts
-                    block += range(parts)
-                    at += [number] * parts
+                met: dict[int, list[int]] = {}
+                for leaf in own.search(vector, sizes.value, least):
+                    first, parts = places[leaf]
+                    for part in range(first, first + parts):
+                        met.setdefault(part, []).append(leaf)
+                block += met
+                leaves += met.values()
+                at += [number] * len(met)
             take = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int32()), pa.array(block, pa.int32()), batch.column("vec_id").take(take),
-                                              batch.column("vector").take(take)], names=["leaf", "block", "vec_id", "vector"])
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(leaves, pa.list_(pa.int32())), batch.column("vec_id").take(take),
+                                              batch.column("vector").take(take)], names=["block", "leaves", "vec_id", "vector"])
 
     return run
 
@@ -164,14 +190,17 @@ def _rank(nearest: int):
         if rows.num_rows and queries.num_rows:
             ids = rows.column("vec_id").to_numpy()
             order = np.argsort(ids, kind="stable")
-            ids, vectors = ids[order], _matrix(rows.column("vector").combine_chunks())[order]
-            for query, vector in zip(queries.column("vec_id").to_pylist(), _matrix(queries.column("vector").combine_chunks())):
-                far = np.sqrt(((vectors - vector) ** 2).sum(axis=1))
-                far[ids == query] = np.inf
+            ids, leaf, vectors = ids[order], rows.column("leaf").to_numpy()[order], _matrix(rows.column("vector").combine_chunks())[order]
+            least = leaf.min()
+            asked = zip(queries.column("vec_id").to_pylist(), queries.column("leaves").to_pylist(), _matrix(queries.column("vector").combine_chunks()))
+            for query, leaves, vector in asked:
+                visited = np.zeros(leaf.max() - least + 1, bool)
+                visited[np.array([x - least for x in leaves if least <= x <= leaf.max()], np.int64)] = True
+                seen = np.flatnonzero(visited[leaf - least] & (ids != query))
+                far = np.sqrt(((vectors[seen] - vector) ** 2).sum(axis=1))
                 best = np.argsort(far, kind="stable")[:nearest]  # ties: the smaller id
-                best = best[np.isfinite(far[best])]
                 out["query_id"] += [query] * len(best)
-                out["vec_id"] += ids[best].tolist()
+                out["vec_id"] += ids[seen[best]].tolist()
                 out["score"] += far[best].tolist()
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()),
                          "score": pa.array(out["score"], pa.float64())})
@@ -205,16 +234,17 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, nearest: int = NEAR
     drawn = few if total <= sample else few.where(share)
     fitted = np.array([r.vector for r in drawn.orderBy("vec_id").limit(2 * sample).collect()], np.float64)
     forest = spark.sparkContext.broadcast(Forest(fitted, trees, leaf))
-    per_leaf = few.mapInArrow(_index(forest, None), "leaf int").groupBy("leaf").count().collect()  # leaves of the sample
-    sizes = spark.sparkContext.broadcast({r["leaf"]: r["count"] for r in per_leaf})
-    blocks = spark.sparkContext.broadcast({r["leaf"]: -(-r["count"] // BLOCK_ROWS) for r in per_leaf})
+    per_leaf = few.mapInArrow(_leaves(forest), "leaf int").groupBy("leaf").count().collect()  # as many as leaves of the sample
+    counts = {r["leaf"]: r["count"] for r in per_leaf}
+    sizes = spark.sparkContext.broadcast(counts)
+    blocks = spark.sparkContext.broadcast(leaf_blocks(counts, forest.value.first_leaves))
     least = trees * total if total <= search else max(search, round(SEARCH_SHARE * total), trees * (nearest + 1))
 
-    columns = f"leaf int, block int, vec_id long, vector {few.schema['vector'].dataType.simpleString()}"
-    index = few.mapInArrow(_index(forest, blocks), columns)
-    visits = rows.where("is_query").select("vec_id", "vector").mapInArrow(_visits(forest, sizes, blocks, least), columns)
-    reports = index.groupBy("leaf", "block").cogroup(visits.groupBy("leaf", "block")).applyInArrow(
-        _rank(nearest), "query_id long, vec_id long, score double")
+    kind = few.schema["vector"].dataType.simpleString()
+    index = few.mapInArrow(_index(forest, blocks), f"block int, leaf int, vec_id long, vector {kind}")
+    visits = rows.where("is_query").select("vec_id", "vector").mapInArrow(
+        _visits(forest, sizes, blocks, least), f"block int, leaves array<int>, vec_id long, vector {kind}")
+    reports = index.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(_rank(nearest), "query_id long, vec_id long, score double")
     merged = reports.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")

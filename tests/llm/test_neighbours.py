@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from pathloom.llm.neighbours import Forest, nearest_neighbours
+from pathloom.llm.neighbours import Forest, leaf_blocks, nearest_neighbours
 from pathloom.llm.queries import op10_neighbours
 
 
@@ -71,3 +71,9 @@ def test_odd_vectors_ties_and_hot_copies(spark):
     assert [r.vec_id for r in nearest_neighbours(few, F.col("vec_id") == 0).collect()] == [7]
     assert nearest_neighbours(table.limit(0), F.col("vec_id") == 0).collect() == []
     assert nearest_neighbours(few, F.col("vec_id") == 55).collect() == []
+
+
+def test_blocks_of_leaves():
+    sizes = {0: 3, 1: 4, 2: 5, 3: 25, 5: 2, 6: 8, 7: 1}
+    assert leaf_blocks(sizes, [0, 6], 10) == {0: (0, 1), 1: (0, 1), 2: (1, 1), 3: (2, 3), 5: (5, 1), 6: (6, 1), 7: (6, 1)}
+    assert leaf_blocks({}, [0], 10) == {}
