@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -39,6 +40,11 @@ ASIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising a
     share sharing social related recommended promo promotion popup modal overlay newsletter subscribe subscription signup login paywall search toolbar
     pagination pager masthead skip hidden""".split())
 HEADER_WORDS = frozenset("header topbar".split())  # these only outside an article
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply replies".split())
+# Words that leave a class what the aside word beside them says, and words of a layout's state.
+NEUTRAL_WORDS = frozenset("left right top bottom box block bar area list widget site".split())
+STATE_WORDS = frozenset("has no not with without is open closed enabled disabled ready active loaded on off".split())
+WEAK, STRONG, COMMENT = 1, 2, 3  # how much class words say that a container is an aside
 GOOD_WORDS = frozenset("article content post entry story main text body".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z) | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)> | <[!?][^>]*>""", re.S | re.X)
@@ -47,31 +53,105 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in SKIPPED}
 
 
+@lru_cache(1 << 16)
+def _marks(names: str) -> tuple[int, int, frozenset[str]]:
+    """How much class words say that a container is an aside, outside an article and inside
+    one, and the words."""
+    marks, every = [0, 0], set()
+    for token in names.split():
+        words = {w.lower() for w in _WORDS.findall(token)}
+        every |= words
+        for inside, signs in enumerate((ASIDE_WORDS | HEADER_WORDS, ASIDE_WORDS)):
+            if words & COMMENT_WORDS and not words & STATE_WORDS:
+                mark = COMMENT
+            elif words & signs:
+                mark = STRONG if all(w in signs or w in NEUTRAL_WORDS or w.isdigit() for w in words) else WEAK
+            else:
+                mark = 0
+            marks[inside] = max(marks[inside], mark)
+    return marks[0], marks[1], frozenset(every)
+
+
 class Node:
-    """A container: its generalised path, whether it is outside the article, and its score."""
+    """A container: its generalised path, whether it is outside the article, and its score.
+
+    ``dropped`` says that its element or role is none of an article; ``mark`` what its class
+    words say, which counts only when the text of the whole page is known.
+    """
 
-    __slots__ = ("tag", "parent", "path", "aside", "inside", "weight", "score")
+    __slots__ = ("tag", "parent", "path", "dropped", "mark", "aside", "inside", "weight", "score", "text", "mains")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
-        names = f"{found.get('class', '')} {found.get('id', '')}" if found else ""
-        words = {w.lower() for w in _WORDS.findall(names)} if names else set()
-        self.tag, self.parent, self.score = tag, parent, 0.0
+        outside, within, words = _marks(f"{found.get('class', '')} {found.get('id', '')}") if found else (0, 0, frozenset())
+        self.tag, self.parent, self.score, self.text, self.mains, self.aside = tag, parent, 0.0, 0, 0, None
         self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
-        self.aside = parent is not None and parent.aside
-        if tag not in ("body", "article", "main") and not self.aside:
-            header = (tag == "header" or words & HEADER_WORDS) and not self.inside
-            self.aside = bool(tag in ASIDE_TAGS or header or words & ASIDE_WORDS or found.get("role", "").lower() in ASIDE_ROLES
-                              or "hidden" in found or found.get("aria-hidden", "").lower() == "true")
+        self.dropped = parent is not None and parent.dropped
+        self.mark = 0
+        if tag not in ("body", "article", "main"):
+            self.mark = within if self.inside else outside
+            self.dropped = bool(self.dropped or tag in ASIDE_TAGS or (tag == "header" and not self.inside) or found.get("role", "").lower() in ASIDE_ROLES
+                                or "hidden" in found or found.get("aria-hidden", "").lower() == "true")
+        elif tag != "body" and not self.dropped and within != COMMENT:
+            at = self
+            while at is not None:
+                at.mains += 1
+                at = at.parent
         label = tag + "".join(sorted("." + re.sub(r"\d+", "#", c.lower()) for c in found.get("class", "").split()))
         self.path = f"{parent.path}>{label}" if parent is not None else label
         self.weight = 1.5 if tag in ("article", "main") else 1.2 if words & GOOD_WORDS else 1.0
 
 
+def _running(text: str, links: int) -> int:
+    return max(0, len(text) - 2 * links)
+
+
+def _without_asides(blocks: list[tuple[str, Node, int]], mains: int) -> list[tuple[str, Node, int]]:
+    """The blocks outside containers whose class words mark an aside. Words such as those of
+    ``has-sidebar`` do not where all of the article, or most of the page's text, is inside."""
+    def comments(node: Node) -> bool:
+        while node is not None:
+            if node.mark == COMMENT and not 0 < node.mains == mains:
+                return True
+            node = node.parent
+        return False
+
+    remarks: dict[int, bool] = {}
+    total = 0
+    for text, node, links in blocks:
+        if id(node) not in remarks:
+            remarks[id(node)] = comments(node)
+        if not remarks[id(node)]:
+            value, at = _running(text, links), node
+            total += value
+            while at is not None:
+                at.text += value
+                at = at.parent
+
+    def marked(node: Node) -> bool:
+        if node.mark == COMMENT:
+            return not 0 < node.mains == mains
+        if node.mark == STRONG:
+            return node.mains < mains or 10 * node.text <= 9 * total
+        return node.mark == WEAK and not node.mains and 2 * node.text <= total
+
+    kept = []
+    for block in blocks:
+        way, at = [], block[1]
+        while at is not None and at.aside is None:
+            way.append(at)
+            at = at.parent
+        for node in reversed(way):
+            node.aside = (node.parent is not None and node.parent.aside) or marked(node)
+        if not block[1].aside:
+            kept.append(block)
+    return kept
+
+
 def parse(html: str) -> list[tuple[str, Node, int]]:
     """The blocks of text outside asides, in page order: text, container, characters in links."""
-    top = Node("body", "", None)
-    stack, blocks, held, links, in_link, at = [top], [], [], 0, False, 0
+    tops = [Node("body", "", None)]
+    stack, blocks, held, links, in_link, at = tops[:], [], [], 0, False, 0
 
     def flush() -> None:
         nonlocal held, links
@@ -84,7 +164,7 @@ def parse(html: str) -> list[tuple[str, Node, int]]:
     while at < len(html):
         token = _TOKEN.search(html, at)
         text = html[at:token.start()] if token else html[at:]
-        if text and not stack[-1].aside:
+        if text and not stack[-1].dropped:
             held.append(text)
             links += len(text.strip()) if in_link else 0
         if not token:
@@ -112,8 +192,9 @@ def parse(html: str) -> list[tuple[str, Node, int]]:
                         pass
             elif tag == "body" and not closing and token[3] and len(stack) == 1:
                 stack[0] = Node("body", token[3], None)
+                tops.append(stack[0])
     flush()
-    return blocks
+    return _without_asides(blocks, sum(n.mains for n in tops))
 
 
 def _lifted(node: Node) -> Node:
@@ -128,7 +209,7 @@ def _lifted(node: Node) -> Node:
 def best_path(blocks: list[tuple[str, Node, int]]) -> tuple[str | None, float]:
     """The path of the page's best container and its score."""
     for text, node, links in blocks:
-        value, share = max(0, len(text) - 2 * links), 1.0
+        value, share = _running(text, links), 1.0
         while node is not None and share > 0.1:
             if node.tag in SCORED:
                 node.score += share * value * node.weight

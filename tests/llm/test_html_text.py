@@ -54,3 +54,13 @@ def test_odd_pages(spark):
         [(1, "", 0), (2, "", 0), (None, "plain text only", 15), (3, "a\nb", 3), (4, "x < y & z & w", 13), (6, "deep", 4), (7, ("w " * 20), 599999), (8, "", 0), (8, "cd", 2),
          (9, "", 0), (10, "t", 1)], key=repr)
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_layout_words_of_a_wrapper_are_no_aside():
+    for wrapper in ("div class='container has-sidebar'", "div id='page' class='no-sidebar'", "div class='cookie-consent-ready'", "section class='search-methods'", "div class='modal-open'"):
+        tag = wrapper.split()[0]
+        article = f"<h1>Head</h1><p>{LONG}</p><div class='share'>Share this</div>"
+        for inner in (f"<article>{article}</article>", f"<main>{article}</main>", f"<div class='post'>{article}</div>"):
+            page = f"<body><nav>Menu</nav><{wrapper}>{inner}<div class='sidebar'>Other posts</div><div class='comments'><article class='comment'><p>{LONG * 5}</p></article></div></{tag}></body>"
+            assert extract(page, None) == "Head\n" + LONG.strip(), page
+    assert extract(f"<body><div class='post'><p>{LONG}</p></div><div class='with-ads ad-zone'>buy this</div><div class='sidebar'><p>{LONG * 3}</p></div></body>", None) == LONG.strip()
