@@ -3,7 +3,8 @@
 Each page's containers are scored by the running text they hold, and the page votes for the
 generalised path of its best one, such as ``body>div.page-#>article``: tags with their classes,
 digits replaced. The votes are counted per host in Spark, and every page is extracted again at
-its host's winning path. A page without that path, or without text there, uses its own best.
+its host's winning path. A page that has most of its text elsewhere uses its own best; so do
+pages without a host, which have nothing in common.
 
 Votes are combined before the shuffle; a host has one winner, so the join back is small on one
 side and is broadcast only after counting, otherwise split by adaptive execution where a host
@@ -25,6 +26,8 @@ from pathloom.llm.url_rules import url_parts
 from pathloom.storage import broadcast_if_small, freeze
 
 BROADCAST_HOSTS = 50_000
+NEARLY_ALL = 0.85  # of a page's running text, for its best container
+NAMED_SHARE = 0.1  # of a page's running text, for a winner that is named as an article
 
 # Elements whose content is no text of the page, that hold containers, and that end a block.
 SKIPPED = frozenset("script style noscript template svg math iframe object video audio canvas select button textarea head title datalist map".split())
@@ -73,18 +76,18 @@ def _marks(names: str) -> tuple[int, int, frozenset[str]]:
 
 
 class Node:
-    """A container: its generalised path, whether it is outside the article, and its score.
+    """A container: its generalised path, whether it is outside the article, and what it holds.
 
     ``dropped`` says that its element or role is none of an article; ``mark`` what its class
     words say, which counts only when the text of the whole page is known.
     """
 
-    __slots__ = ("tag", "parent", "path", "dropped", "mark", "aside", "inside", "weight", "score", "text", "mains")
+    __slots__ = ("tag", "parent", "path", "dropped", "mark", "aside", "inside", "weight", "text", "mains", "head")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
         outside, within, words = _marks(f"{found.get('class', '')} {found.get('id', '')}") if found else (0, 0, frozenset())
-        self.tag, self.parent, self.score, self.text, self.mains, self.aside = tag, parent, 0.0, 0, 0, None
+        self.tag, self.parent, self.text, self.mains, self.head, self.aside = tag, parent, 0, 0, False, None
         self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
         self.dropped = parent is not None and parent.dropped
         self.mark = 0
@@ -184,6 +187,8 @@ def parse(html: str) -> list[tuple[str, Node, int]]:
             held.append(" ")
         elif tag in BLOCKS:
             flush()
+            if tag == "h1":
+                stack[-1].head = True
             if tag in CONTAINERS and tag != "body":
                 if not closing:
                     stack.append(Node(tag, token[3], stack[-1]))
@@ -206,26 +211,49 @@ def _lifted(node: Node) -> Node:
     return best
 
 
-def best_path(blocks: list[tuple[str, Node, int]]) -> tuple[str | None, float]:
-    """The path of the page's best container and its score."""
+def held_text(blocks: list[tuple[str, Node, int]]) -> tuple[dict[str, int], dict[str, Node], int]:
+    """Running text per path with all that is below it, a container of each path, and the
+    running text of the page."""
+    own: dict[int, int] = {}
+    nodes: dict[int, Node] = {}
     for text, node, links in blocks:
-        value, share = _running(text, links), 1.0
-        while node is not None and share > 0.1:
-            if node.tag in SCORED:
-                node.score += share * value * node.weight
-                share /= 2
-            node = node.parent
-    scores: dict[str, float] = {}
-    lifted: dict[str, str] = {}
-    seen: set[int] = set()
-    for _, node, _ in blocks:
-        while node is not None and id(node) not in seen:
-            seen.add(id(node))
-            scores[node.path] = scores.get(node.path, 0.0) + node.score
-            lifted[node.path] = _lifted(node).path
+        own[id(node)] = own.get(id(node), 0) + _running(text, links)
+        nodes[id(node)] = node
+    held: dict[str, int] = {}
+    first: dict[str, Node] = {}
+    for key, value in own.items():
+        at = nodes[key]
+        while at is not None:
+            held[at.path] = held.get(at.path, 0) + value
+            first.setdefault(at.path, at)
+            at = at.parent
+    return held, first, sum(own.values())
+
+
+def best_path(blocks: list[tuple[str, Node, int]]) -> tuple[str | None, float]:
+    """The path of the page's best container and the running text it holds: the outermost
+    article or main with most of the text, else the lowest container with nearly all of it,
+    and one further out if that adds the heading."""
+    held, first, total = held_text(blocks)
+    if not total:
+        return None, 0.0
+    named = [p for p, n in first.items() if n.tag in ("article", "main") and held[p] > total / 2]
+    if named:
+        best = _lifted(first[max(named, key=lambda p: (held[p], p))]).path
+        return best, float(held[best])
+    lowest = max((p for p, n in first.items() if n.tag in SCORED and held[p] >= NEARLY_ALL * total), key=len, default=None)  # one within the other
+    if lowest is None:  # text before and after the body tag
+        lowest = max(held, key=lambda p: (held[p], p))
+    headed: set[str] = set()
+    for node in {id(n): n for _, n, _ in blocks if n.head}.values():
+        while node is not None:
+            headed.add(node.path)
             node = node.parent
-    best = max(scores, key=lambda p: (scores[p], p), default=None)
-    return (lifted[best], scores[best]) if best is not None and scores[best] > 0 else (None, 0.0)
+    at = first[lowest]
+    while at is not None and not (at.path in headed and at.tag in SCORED):
+        at = at.parent
+    best = lowest if at is None else at.path
+    return best, float(held[best])
 
 
 def text_at(blocks: list[tuple[str, Node, int]], path: str | None) -> str:
@@ -244,12 +272,17 @@ def text_at(blocks: list[tuple[str, Node, int]], path: str | None) -> str:
 
 
 def extract(html: str, winner: str | None) -> str:
-    """The text at the host's winning path, else at the page's own best."""
+    """The text at the host's winning path, or at the page's own best if most of the page's
+    text is elsewhere. A winner that is named as an article may hold less, as other text of
+    the page can be long, but no less than a tenth."""
     blocks = parse(html)
-    found = text_at(blocks, winner) if winner is not None else ""
-    if not found:
-        found = text_at(blocks, best_path(blocks)[0])
-    return found
+    if winner is not None:
+        held, first, total = held_text(blocks)
+        if winner in held:
+            last = first[winner]
+            if held[winner] >= total * (NAMED_SHARE if last.tag in ("article", "main") or last.weight > 1 else 0.5):
+                return text_at(blocks, winner)
+    return text_at(blocks, best_path(blocks)[0])
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +301,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_paths(rows: DataFrame) -> DataFrame:
     """``(host, winner)``: the path with most votes of a host's pages (``host``, ``html``); of
     equally many that with the larger score, then the later path."""
-    votes = rows.mapInArrow(_vote, "host string, path string, score double").where("path IS NOT NULL")
+    votes = rows.where("host <> ''").mapInArrow(_vote, "host string, path string, score double").where("path IS NOT NULL")
     counted = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum(F.round("score").cast("long")).alias("score"))
     return counted.groupBy("host").agg(F.max(F.struct("votes", "score", "path"))["path"].alias("winner"))
 

@@ -64,3 +64,19 @@ def test_layout_words_of_a_wrapper_are_no_aside():
             page = f"<body><nav>Menu</nav><{wrapper}>{inner}<div class='sidebar'>Other posts</div><div class='comments'><article class='comment'><p>{LONG * 5}</p></article></div></{tag}></body>"
             assert extract(page, None) == "Head\n" + LONG.strip(), page
     assert extract(f"<body><div class='post'><p>{LONG}</p></div><div class='with-ads ad-zone'>buy this</div><div class='sidebar'><p>{LONG * 3}</p></div></body>", None) == LONG.strip()
+
+
+def test_winner_does_not_replace_another_template(spark):
+    first, second = f"<body><div><p>{LONG}</p></div></body>", f"<body><div>Welcome</div><div class=post>{LONG * 3}</div></body>"
+    rows = [(i, "http://a.example/" + str(i), first if i < 6 else second) for i in range(10)]
+    rows += [(20 + i, None if i % 2 else "no host", f"<body><div><p>{LONG}</p></div></body>") for i in range(5)]
+    rows.append((30, None, f"<body><div>{LONG}</div><div class=post>{LONG}</div></body>"))
+    found = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == LONG.strip() for i in range(6)) and all((LONG * 3).strip() in found[i] for i in range(6, 10))
+    assert found[30] == LONG.strip() + "\n" + LONG.strip()
+
+
+def test_best_container_keeps_all_parts():
+    parts = f"<div class=intro><p>{LONG * 3}</p></div><div class=details><p>{LONG * 2}</p></div>"
+    assert extract(f"<body><nav>x</nav><div class=page>{parts}</div></body>", None) == "\n".join([(LONG * 3).strip(), (LONG * 2).strip()])
+    assert extract(f"<body><div class=post><h1>Head</h1><div class=entry-content><p>{LONG}</p></div></div></body>", None) == "Head\n" + LONG.strip()
