@@ -1,0 +1,137 @@
+"""Links between texts whose word shingles have a Jaccard similarity of at least 0.8.
+
+Candidates meet in bands of a MinHash: 64 bands of 8 minima, in which a pair at the threshold
+meets with a probability of 0.99999 and more similar ones sooner. Every pair that is linked was
+compared by its whole shingle sets.
+
+At scale: texts with equal shingle sets are one before bands are emitted. In each band all are
+compared with one of them first, so that a group of near copies costs a comparison for each
+copy; only what these links leave apart in a common band is compared pair by pair.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from pathloom.llm.components import star_components
+from pathloom.storage import broadcast_if_small, freeze
+
+SHINGLE = 5
+LEAST = 0.8
+BANDS, MINIMA = 64, 8
+SALTS = 64  # parts of the comparisons of one text
+
+_FACTORS = np.random.default_rng(5).integers(0, 2**63, BANDS * MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
+_PART = 256
+
+
+def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the text's word shingles; a shorter text is one shingle."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined, digest = b" ".join(words), xxhash.xxh64_intdigest
+    if len(words) <= shingle:
+        return np.array([digest(joined)], np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(lengths + 1) - 1
+    starts = ends - lengths
+    return np.unique(np.array([digest(joined[a:b]) for a, b in zip(starts.tolist(), ends[shingle - 1:].tolist())], np.uint64))
+
+
+def _number(found: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(found.tobytes())).astype(np.int64))
+
+
+def bands(found: np.ndarray) -> list[int]:
+    """The bands of a shingle set, as signed longs; none for an empty set."""
+    if not len(found):
+        return []
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), _PART):
+        np.minimum(least, (found[None, at:at + _PART] * _FACTORS[:, None]).min(axis=1), out=least)
+    rows = least.reshape(BANDS, MINIMA)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], np.uint64).view(np.int64).tolist()
+
+
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+
+
+def _numbers(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, fp, n, bands)`` per row: fp stands for the shingle set, of n shingles."""
+    rows = _texts(docs, key, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, sizes, all_bands = [], [], []
+            for t in batch.column(1).to_pylist():
+                found = shingles(t)
+                fps.append(_number(found))
+                sizes.append(len(found))
+                all_bands.append(bands(found))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(all_bands, pa.list_(pa.int64()))],
+                                             names=["key", "fp", "n", "bands"])
+
+    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, fp long, n long, bands array<long>")
+
+
+def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
+    """``(fp, hashes)`` of the wanted fps."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_number(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())], names=["fp", "hashes"])
+
+    rows = _texts(docs, key, text).select("text").mapInArrow(run, "fp long, hashes binary")
+    return freeze(rows.join(broadcast_if_small(wanted), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes")))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Those of the distinct pairs ``(a, b)`` that are similar enough. A text with many pairs
+    is dealt out over parts."""
+    pairs = freeze(pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALTS))))
+    left = pairs.select("a", "part").distinct().join(sets.select(F.col("fp").alias("a"), F.col("hashes").alias("x")), "a")
+    both = pairs.join(sets.select(F.col("fp").alias("b"), F.col("hashes").alias("y")), "b").join(left, ["a", "part"]).select("a", "b", "x", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                p, q = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                near.append(common >= least * (len(p) + len(q) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return freeze(both.mapInArrow(run, "a long, b long"))
+
+
+def similar(docs: DataFrame, key: str, text: str, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """``(key, fp)`` per row, and ``(fp, first, root)`` per shingle set: its smallest key and
+    the set that stands for its component."""
+    found = freeze(_numbers(docs, key, text))
+    fps = freeze(found.groupBy("fp").agg(F.min("key").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands")))
+    rows = fps.select("fp", "n", F.explode("bands").alias("band"))
+    shared = rows.groupBy("band").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("band", "a")
+    met = freeze(rows.join(shared, "band"))
+    sets = _sets(docs, key, text, met.select("fp").distinct())
+    sizes = fps.select(F.col("fp").alias("a"), F.col("n").alias("n_a"))
+    fits = lambda n, m: F.least(n, m) >= least * F.greatest(n, m)
+    first = met.where("a <> fp").select("a", F.col("fp").alias("b"), "n").distinct().join(sizes, "a").where(fits(F.col("n"), F.col("n_a"))).select("a", "b")
+    links = _verified(first, sets, least)
+    stars = star_components(links)
+    placed = met.select("band", "fp", "n").join(stars, F.col("fp") == stars["node"], "left").select("band", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    placed = freeze(placed)
+    apart = placed.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r < s").select("band")
+    open_rows = freeze(placed.join(apart, "band", "left_semi"))
+    x, y = open_rows.alias("x"), open_rows.alias("y")
+    rest = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & fits(F.col("x.n"), F.col("y.n")))
+    rest = freeze(rest.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()).join(first, ["a", "b"], "left_anti")
+    stars = star_components(links.unionByName(_verified(rest, sets, least)))
+    return found.select("key", "fp"), fps.join(stars, fps["fp"] == stars["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))

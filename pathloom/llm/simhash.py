@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.llm.components import star_components
+from pathloom.llm.jaccard import similar
 from pathloom.storage import freeze, new_folder, shuffle_cleanup
 
 RADIUS = 4
@@ -202,20 +203,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS,
-             slices: int = SLICES) -> DataFrame:
-    """One row of each component of near-duplicates, with all columns as they are.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of texts whose shingles of five words have a Jaccard
+    similarity of at least 0.8, with all columns as they are.
 
     The row with the smallest doc_id stays; rows without an id come last, ties are decided by a
     hash of the text, and of rows that agree in both any one stays.
     """
     names = docs.columns
     key = F.struct(F.col(doc_id).isNull().alias("missing"), F.col(doc_id).alias("id"), F.hash(F.col(text)).alias("tie"))
-    found = freeze(fingerprints(docs.select(key.alias("key"), F.col(text).alias("words")), "key", "words"))
-    chosen = _rooted(found, F.min("doc_id"), radius, slices).groupBy("root").agg(F.min("first").alias("key"))
+    found, rooted = similar(docs.select(key.alias("key"), F.col(text).alias("words")), "key", "words")
+    chosen = rooted.groupBy("root").agg(F.min("first").alias("key"))
     # ids may be null within the key, so it is compared as a whole
     flat = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
-    counted = found.groupBy(flat(F.col("doc_id")).alias("key")).count()
+    counted = found.groupBy(flat(F.col("key")).alias("key")).count()
     kept = freeze(counted.join(chosen.select(flat(F.col("key")).alias("key")), "key"))
     rows = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), flat(key).alias("key"))
     one = rows.join(kept.where("count = 1"), "key", "left_semi")

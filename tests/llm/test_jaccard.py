@@ -1,0 +1,40 @@
+import random
+from itertools import combinations
+
+from pathloom.llm.simhash import keep_one
+
+
+def plain(rows):
+    """The first document of each group at similarity 0.8, by comparing all pairs."""
+    sets = {}
+    for d, t in rows:
+        words = (t or "").lower().split()
+        sets[d] = {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a, b in combinations(sorted(sets), 2):
+        if sets[a] == sets[b] or 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {find(d) for d in sets}
+
+
+def test_stage_against_all_pairs_at_its_threshold(spark):
+    rng = random.Random(3)
+    rows = []
+    for group in range(25):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        for _ in range(6):  # a chain: every copy from the one before, and some from the first
+            rows.append((len(rows), " ".join(words)))
+            words = words[:] if group % 3 else rows[-1][1].split()
+            for at in rng.sample(range(200), rng.randrange(0, 9)):
+                words[at] = f"n{rng.randrange(5000)}"
+    rows += [(len(rows) + i, t) for i, t in enumerate([None, "", " ", "one two three", "One two three", "one two four"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(rows)
+    assert {r.doc_id for r in keep_one(docs).collect()} == want and 25 < len(want) < len(rows) - 30
