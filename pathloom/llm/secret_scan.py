@@ -30,12 +30,17 @@ MARK = "[SECRET]"
 # What a name has to contain to be sensitive, and how much that says.
 SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "secret": 3, "token": 3, "apikey": 3, "accesskey": 3,
              "privatekey": 3, "signingkey": 3, "encryptionkey": 3, "credential": 3, "connectionstring": 2, "auth": 1}
-HARMLESS_NAMES = re.compile(r"(?:length|size|count|limit|max|min|ttl|expir|url|uri|path|file|name|type|author|tokeniz)", re.I)
+# Whole words of a name that make it harmless.
+HARMLESS_NAMES = re.compile(r"(?:length|size|count|limit|url|uri|path|file|filepath|(?:user|file|path|host|type)?name|type)s?|max|min|ttl|expir.*|author(?!i[sz]).*|tokeni[sz].*")
 PLACEHOLDERS = re.compile(r"""(?ix) ^(?: none|null|nil|true|false|undefined|todo|changeme|example|placeholder|password|secret|token
-                              |redacted|default|string|str|bytes|test|x+|\*+|\.+|-+ )$ | ^[<$%{] | your[_-]""")
+                              |redacted|default|string|str|bytes|test|x+|\*+|\.+|-+ )$ | ^(?: \$\{[^}]*\} | \{\{.*\}\} | %\([^)]*\)[sd] | <[^<>]*> | (?-i:\$[A-Z][A-Z0-9_]*) )$ | your[_-]""")
 LEAST_SCORE = 5
+QUOTED_SCORE = 4  # of a quoted literal under a name of weight 3
 LEAST_CHARS = 6
 
+_NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_SENSITIVE = re.compile("(?:" + "|".join(s for s in SENSITIVE if s != "auth") + ")s?")
+_PHRASED = re.compile("(?:" + "|".join(s for s, weight in SENSITIVE.items() if weight == 3) + ")$")
 _STEMS = re.compile("|".join(sorted({"passw", "passph", "pwd", "secret", "token", "key", "credential", "connection", "auth"})))
 _PAIR = re.compile(r"""(?<![\w.\-])(["'`]?)([A-Za-z_][\w.\-]{0,127})\1(?:[ \t]*\])?[ \t]*(?::=|=>|=(?!=)|:(?!:))[ \t]*""")
 _ATOM = re.compile(r"""[bBrRuUfF]{0,2}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`((?:[^`\\\n]|\\.)*)`)|([^\s,;"'`(){}\[\]<>=:]+={0,2})""")
@@ -80,17 +85,26 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
         at = m.end() if values and not values[0][2] else max(end, m.end())
 
 
+def _plain(name: str) -> str:
+    return re.sub(r"[_.\-]", "", name).lower()
+
+
 def sensitivity(name: str) -> int:
     """How sensitive a target name is; 0 for ordinary ones."""
-    plain = re.sub(r"[_.\-]", "", name).lower()
-    if HARMLESS_NAMES.search(plain):
+    plain = _plain(name)
+    weight = max((weight for stem, weight in SENSITIVE.items() if stem in plain), default=0)
+    # words as they are, and what sensitive words written together with others leave of them
+    if weight and any(HARMLESS_NAMES.fullmatch(w) or HARMLESS_NAMES.fullmatch(_SENSITIVE.sub("", w)) for w in map(str.lower, _NAME_WORDS.findall(name))):
         return 0
-    return max((weight for stem, weight in SENSITIVE.items() if stem in plain), default=0)
+    return weight
 
 
-def literal_score(literal: str) -> int:
-    """How much a literal looks like a secret by itself; negative for placeholders."""
-    if len(literal) < LEAST_CHARS or any(c.isspace() for c in literal) or PLACEHOLDERS.search(literal):
+def literal_score(literal: str, phrase: bool = False) -> int:
+    """How much a literal looks like a secret by itself; negative for placeholders, and for
+    texts with white space unless they may be a pass phrase."""
+    if len(literal) < LEAST_CHARS or PLACEHOLDERS.search(literal):
+        return -9
+    if any(c.isspace() for c in literal) and (not phrase or _SENSITIVE.search(literal.lower())):
         return -9
     classes = [any(c.islower() for c in literal), any(c.isupper() for c in literal), any(c.isdigit() for c in literal),
                any(not c.isalnum() for c in literal)]
@@ -102,23 +116,23 @@ def literal_spans(text: str) -> list[Span]:
     if not _STEMS.search(text.lower()):
         return []
     held: dict[str, list[tuple[int, int, bool]]] = {}
-    targets: list[tuple[int, list[tuple[int, int, bool]]]] = []
+    targets: list[tuple[int, bool, list[tuple[int, int, bool]]]] = []  # weight, whether a pass phrase may follow
     for name, values in pairs(text):
         held.setdefault(name, []).extend(values)
         if weight := sensitivity(name):
-            targets.append((weight, values))
+            targets.append((weight, bool(_PHRASED.search(_plain(name))), values))
     found: set[tuple[int, int]] = set()
-    seen: set[tuple[int, str]] = set()  # a name is followed once for each weight
-    for weight, values in targets:
+    seen: set[tuple[int, bool, str]] = set()  # a name is followed once for each weight and kind
+    for weight, phrase, values in targets:
         todo = list(values)
         while todo:
             start, end, quoted = todo.pop()
             bare = text[start:end]
             if not quoted and _NAME.match(bare) and bare in held:
-                if (weight, bare) not in seen:
-                    seen.add((weight, bare))
+                if (weight, phrase, bare) not in seen:
+                    seen.add((weight, phrase, bare))
                     todo += held[bare]
-            elif weight + literal_score(bare) >= LEAST_SCORE:
+            elif weight + literal_score(bare, phrase and quoted) >= (QUOTED_SCORE if quoted and weight == 3 else LEAST_SCORE):
                 found.add((start, end))
     return [(start, 3, end) for start, end in found]
 

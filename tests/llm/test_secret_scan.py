@@ -72,3 +72,19 @@ def test_nulls_repeats_and_redaction(spark):
     assert kept == sorted([(1, None, 5, "a"), (None, "", 0, "b"), *[(2, MARK + " x", len(MARK) + 2, "c")] * 2, (3, "clean é text", None, "d")], key=repr)
     assert redacted("0123456789", [(1, 0, 4), (3, 2, 6), (8, 1, 9)]) == f"0{MARK}67{MARK}9"
     assert scan_secrets(docs.limit(0)).collect() == [] and redact_secrets(docs.limit(0)).collect() == []
+
+
+def test_whole_words_make_a_name_harmless():
+    for name in ("adminPassword", "ADMIN_PWD", "account_secret", "accountCredential", "security_token", "authorization_token", "profile_secret", "namespace_token"):
+        assert held(f"{name} = 'Abc123$xyz'") == ["Abc123$xyz"], name
+        assert held(f"k = 'Zx81-Spectrum'\n{name} = k") == ["Zx81-Spectrum"], name
+    for name in ("max_tokens", "maxTokens", "maxtokens", "tokenCount", "password_file", "secretName", "TOKEN_URL", "tokenizer", "token_expires", "passwordMinLength"):
+        assert held(f"{name} = 'Abc123$xyz'") == [], name
+
+
+def test_literals_that_only_begin_like_placeholders():
+    for literal in ("$2b$12$abcdefghijkLMNOP", "%kT9x!qZ", "<kT9x!qZ", "{kT9x!qZ", "correct horse battery staple", "hunter22"):
+        assert held(f"db_password = '{literal}'") == [literal], literal
+    for literal in ("${DB_PASSWORD}", "{{ db.password }}", "%(password)s", "<your password>", "$DB_PASSWORD", "Please enter a password"):
+        assert held(f"db_password = '{literal}'") == [], literal
+    assert held("password_hint = 'at least one digit, please'") == []
