@@ -30,6 +30,21 @@ SALTS = 64  # parts of the comparisons of one text
 _FACTORS = np.random.default_rng(5).integers(0, 2**63, BANDS * MINIMA, np.uint64) * np.uint64(2) + np.uint64(1)
 _PART = 256
 
+# Shingle sets are wide, so steps that carry them see fewer rows at once.
+ROWS = 256
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    """Frozen, in Arrow batches of few rows."""
+    spark = rows.sparkSession
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(ROWS))
+    try:
+        return freeze(rows)
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
 
 def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the text's word shingles; a shorter text is one shingle."""
@@ -90,7 +105,7 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([_number(f) for f in found], pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())], names=["fp", "hashes"])
 
     rows = _texts(docs, key, text).select("text").mapInArrow(run, "fp long, hashes binary")
-    return freeze(rows.join(broadcast_if_small(wanted), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes")))
+    return _stored(rows.join(broadcast_if_small(wanted), "fp", "left_semi").groupBy("fp").agg(F.first("hashes").alias("hashes")))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -109,13 +124,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
                 near.append(common >= least * (len(p) + len(q) - common))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return freeze(both.mapInArrow(run, "a long, b long"))
+    return _stored(both.mapInArrow(run, "a long, b long"))
 
 
 def similar(docs: DataFrame, key: str, text: str, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
     """``(key, fp)`` per row, and ``(fp, first, root)`` per shingle set: its smallest key and
     the set that stands for its component."""
-    found = freeze(_numbers(docs, key, text))
+    found = _stored(_numbers(docs, key, text))
     fps = freeze(found.groupBy("fp").agg(F.min("key").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     rows = fps.select("fp", "n", F.explode("bands").alias("band"))
     shared = rows.groupBy("band").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("band", "a")
