@@ -282,7 +282,8 @@ def extract(html: str, winner: str | None) -> str:
             last = first[winner]
             if held[winner] >= total * (NAMED_SHARE if last.tag in ("article", "main") or last.weight > 1 else 0.5):
                 return text_at(blocks, winner)
-    return text_at(blocks, best_path(blocks)[0])
+    best, _ = best_path(blocks)
+    return text_at(blocks, best) if best is not None else "\n".join(text for text, _, _ in blocks)  # only links
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
