@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from pathloom.llm.html_text import main_text
 from pathloom.llm.neighbours import nearest_neighbours
 from pathloom.llm.packing import pack
+from pathloom.llm.periodic_runs import periodic_runs, strongest, with_planted_runs
 from pathloom.llm.pieces import encode_decode
 from pathloom.llm.quality import FENCE, LEAST_GROUP, MEASURES, quality
+from pathloom.llm.resampling import resample
 from pathloom.llm.secret_scan import scan_secrets
 from pathloom.llm.simhash import near_duplicates
 from pathloom.llm.suffix_dedup import remove_repeats
+from pathloom.llm.token_counts import count_tokens
 from pathloom.llm.url_rules import DEFAULT, RULES, judge_urls, split_rule
 from pathloom.llm.warc import round_trip
 
@@ -173,6 +176,63 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+# The check sum of a feature goes byte by byte through its table, which is made from the polynomial; bigints.
+OP11_SQL = r"""
+WITH RECURSIVE steps(n, c, k) AS (
+    SELECT range, range, 0 FROM range(256)
+    UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS crc FROM steps WHERE k = 8),
+texts AS (
+    SELECT 0 AS target, row_number() OVER () AS n, doc_id, text FROM documents
+    UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+split AS (
+    SELECT target, n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+features AS (
+    SELECT target, n, unnest(w) AS f FROM split
+    UNION ALL SELECT target, n, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM split),
+counted AS (SELECT target, n, f, count(*) AS c FROM features GROUP BY ALL),
+hexes AS (SELECT f, hex(encode(f)) AS h FROM counted GROUP BY f),
+hashed AS (
+    SELECT f, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                              lambda a, b: xor(a >> 8, crc[1 + (xor(a, b) & 255)]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM hexes, crc),
+placed AS (SELECT target, n, c, bucket FROM counted JOIN hashed USING (f)),
+sums AS (SELECT bucket, CAST(sum(c) FILTER (target = 0) AS DOUBLE) AS s, CAST(sum(c) FILTER (target = 1) AS DOUBLE) AS t FROM placed GROUP BY bucket),
+whole AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM sums),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (all_s + 10000) / ((coalesce(s, 0) + 1) * (all_t + 10000)))) AS BIGINT) AS gain FROM sums, whole),
+sizes AS (SELECT n, sum(c) AS n_features, sum(c * gain) AS total FROM placed JOIN gains USING (bucket) WHERE target = 0 GROUP BY n),
+scored AS (
+    SELECT n, doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+           CAST(CASE WHEN n_features > 0 THEN (total - ((total % n_features) + n_features) % n_features) // n_features ELSE 0 END AS BIGINT) AS weight,
+           CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+    FROM split LEFT JOIN sizes USING (n) WHERE target = 0),
+drawn AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((CAST(h AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (
+    SELECT n, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, 25 * count(*) OVER () // 100 AS most FROM drawn WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= most THEN place END AS rank FROM drawn LEFT JOIN ranked USING (n)
+"""
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(_table(spark, folder, "documents")))
+    top = strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[n].cast("string") for n in ("start", "length", "period")]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), top.alias("top"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_url_rules": op2_url_rules,
@@ -184,6 +244,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_packing": op9_packing,
     "op10_neighbours": op10_neighbours,
+    "op11_resampling": op11_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -191,4 +254,5 @@ ORACLES: dict[str, str] = {
     "op5_warc": OP5_SQL,
     "op7_quality": OP7_SQL,
     "op8_suffix_dedup": OP8_SQL,
+    "op11_resampling": OP11_SQL,
 }
