@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pathloom.catalog.base import CONFIG, query, real, rounded, scenes, split_tracks, sql, tracks, typed
+from pathloom.catalog.base import CONFIG, dist_sql, query, real, rounded, scenes, split_tracks, sql, tracks, typed
 from pathloom.operators import kinds as K
 from pathloom.operators.pairs import neighbors, scene_steps
 from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
@@ -16,6 +16,11 @@ from pathloom.storage import new_folder
 
 # Nobody in the derived walk comes nearer than the usual 0.1 m; this finds some.
 WIDE = CONFIG.but(collision_radius=0.6)
+# Few walk within 0.8 m of each other for a whole scene; these limits find more, in scenes of any type.
+LOOSE = CONFIG.but(grp_dist_thresh=2.5, grp_std_thresh=1.0)
+
+
+_APART = dist_sql("s.x", "s.y", "t.x", "t.y")
 
 
 def undecided(spark, sf_dir):
@@ -46,9 +51,11 @@ def ty_cone(spark, sf_dir):
     return K.cone_flags(undecided(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG).select("dataset", "scene", "leader", "avoidance")
 
 
-@query("ty_group", sql("grouped", "SELECT dataset, scene, other, round(mean_dist, 6) AS mean_dist, round(std_dist, 6) AS std_dist, steps FROM grouped"))
+@query("ty_group", sql("all_steps", f"""SELECT s.dataset, s.scene, t.pedestrian AS other, round(avg({_APART}), 6) AS mean_dist, round(stddev_pop({_APART}), 6) AS std_dist, count(*) AS steps
+    FROM all_steps s JOIN st t ON t.dataset = s.dataset AND t.split = s.split AND t.frame = s.frame AND t.pedestrian <> s.pedestrian WHERE s.i >= 9
+    GROUP BY s.dataset, s.scene, t.pedestrian HAVING count(*) >= 2 AND avg({_APART}) < {real(LOOSE.grp_dist_thresh)} AND stddev_pop({_APART}) < {real(LOOSE.grp_std_thresh)}"""))
 def ty_group(spark, sf_dir):
-    return rounded(K.group_pairs(undecided(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG), "mean_dist", "std_dist")
+    return rounded(K.group_pairs(scenes(spark, sf_dir), split_tracks(spark, sf_dir), LOOSE), "mean_dist", "std_dist")
 
 
 @query("ty_main", sql("typed", "SELECT dataset, split, scene, tag FROM typed"))

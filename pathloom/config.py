@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 # list of hot groups that is broadcast (100 TB of 40-byte rows: about 600 000 entries).
 HOT_ROWS = 4_000_000
 
-# As ``hot_rows`` or ``hot_copies``: no group can be hot, so none is looked for.
+# As ``hot_rows``, ``hot_copies`` or ``crowded``: no group can be hot, so none is looked for.
 NO_HOT_ROWS = 1 << 62
 
 # Rows per piece of a hot group, without its overlap with the next piece.
@@ -18,6 +18,9 @@ SEGMENT_ROWS = 1_000_000
 # Pedestrians with one and the same track that are compared with each other one by one.
 HOT_COPIES = 1_000
 
+# Rows of a grid cell that are looked at one by one by everybody near it.
+CROWDED = 1_000
+
 # Largest lookup table that is broadcast after counting it.
 BROADCAST_ROWS = 1_000_000
 
@@ -54,6 +57,7 @@ class SceneConfig:
     hot_rows: int = HOT_ROWS
     segment_rows: int = SEGMENT_ROWS
     hot_copies: int = HOT_COPIES
+    crowded: int = CROWDED
 
     @property
     def chunk_size(self) -> int:

@@ -6,13 +6,16 @@ Types: 1 static, 2 linear, 3 interacting, 4 other. Interaction kinds of type 3:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathloom.config import SceneConfig
 from pathloom.functions.forecast import forecast
-from pathloom.functions.geometry import dist, within_angle
+from pathloom.functions.geometry import dist, grid_cell, within_angle
 from pathloom.operators.copies import PERSON, copies, without_followers
+from pathloom.operators.crowded import FRAME, answers, crowded_cells, flags, in_cells
 from pathloom.operators.pairs import frame_links, frames_of, nearby, scene_steps
 from pathloom.storage import freeze
 
@@ -59,17 +62,44 @@ def open_steps(scenes: DataFrame, config: SceneConfig) -> DataFrame:
     return scene_steps(scenes, config.obs_len, config.chunk_size)
 
 
-def contacts(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
-    """Neighbours that matter for the type of a scene, per move of a primary: ``in_cone`` if
-    near enough and ahead, inside the cone around the heading ``hx, hy``; ``near`` if so
-    near that the two may form a group.
+def open_moves(scenes: DataFrame, config: SceneConfig) -> DataFrame:
+    """Distinct predicted moves of the scenes, with the heading ``hx, hy``. Overlapping scenes share most of theirs."""
+    moves = open_steps(scenes, config).select(*MOVE, "x", "y", "px", "py").distinct()
+    return moves.withColumn("hx", F.col("x") - F.col("px")).withColumn("hy", F.col("y") - F.col("py")).drop("px", "py")
+
+
+@dataclass(frozen=True)
+class Contacts:
+    """What the moves of some scenes meet. ``pairs`` are neighbours in ordinary cells, ``in_cone`` if near enough and ahead, inside the
+    cone around the heading, and ``near`` if so near that the two may form a group; in crowded cells only the near ones.
+    ``answers`` are what crowded cells say about cones, None without such a cell."""
+
+    pairs: DataFrame
+    answers: DataFrame | None
+
 
-    Overlapping scenes share most of their moves, so each distinct move looks for
-    neighbours once, and one grid join serves both questions.
+def contacts(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> Contacts:
+    """Neighbours that matter for the type of a scene, per move of a primary.
+
+    Each distinct move looks for neighbours once, and one grid join serves both questions. Cells with more than ``config.crowded`` rows
+    are not joined with everybody near them but asked whether they hold anybody.
     """
-    moves = open_steps(scenes, config).select(*MOVE, "x", "y", "px", "py").distinct()
-    moves = moves.withColumn("hx", F.col("x") - F.col("px")).withColumn("hy", F.col("y") - F.col("py")).drop("px", "py")
-    seen = nearby(moves, tracks, max(config.inter_dist_thresh, config.grp_dist_thresh))
+    moves = open_moves(scenes, config)
+    radius = max(config.inter_dist_thresh, config.grp_dist_thresh)
+    cells = crowded_cells(tracks, 2 * radius, config.crowded)
+    if cells is None:
+        return Contacts(_paired(moves, tracks, radius, config), None)
+    moves = freeze(moves)
+    thin = _paired(moves, in_cells(tracks, cells, 2 * radius, False), radius, config)
+    crowd = in_cells(tracks, cells, 2 * radius, True)
+    close = _paired(moves, crowd, config.grp_dist_thresh, config).where("near").withColumn("in_cone", F.lit(False))
+    reach = 2 * config.inter_dist_thresh
+    within = cells if reach == 2 * radius else crowd.select(*FRAME, grid_cell(F.col("x"), reach).alias("_gx"), grid_cell(F.col("y"), reach).alias("_gy")).distinct()
+    return Contacts(thin.unionByName(close), answers(moves, tracks, within, reach, config))
+
+
+def _paired(moves: DataFrame, others: DataFrame, radius: float, config: SceneConfig) -> DataFrame:
+    seen = nearby(moves, others, radius)
     reach, close = config.inter_dist_thresh ** 2, config.grp_dist_thresh ** 2
     in_cone = (F.col("d2") <= reach) & within_angle(
         F.col("hx"), F.col("hy"), F.col("ox") - F.col("x"), F.col("oy") - F.col("y"), config.inter_pos_range)
@@ -77,43 +107,83 @@ def contacts(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataF
             .where(F.col("in_cone") | F.col("near")))
 
 
-def cone_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
+def cone_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: Contacts | None = None) -> DataFrame:
     """Scenes with somebody in the cone, and whether such a neighbour moves the same way
     (``leader``) or the opposite way (``avoidance``). ``found`` are their contacts, if
     already known."""
     found = contacts(scenes, tracks, config) if found is None else found
     before = tracks.select("dataset", "split", F.col("frame").alias("pframe"), F.col("pedestrian").alias("other"),
                            F.col("x").alias("bx"), F.col("y").alias("by"))
-    ahead = found.where("in_cone").drop("in_cone", "near").join(before, ["dataset", "split", "pframe", "other"], "left")
+    ahead = found.pairs.where("in_cone").drop("in_cone", "near").join(before, ["dataset", "split", "pframe", "other"], "left")
     nx, ny = F.col("ox") - F.col("bx"), F.col("oy") - F.col("by")
     hx, hy, limit = F.col("hx"), F.col("hy"), config.inter_pos_range
     by_move = ahead.groupBy(*MOVE).agg(F.bool_or(within_angle(hx, hy, nx, ny, limit)).alias("leader"),
                                        F.bool_or(within_angle(hx, hy, -nx, -ny, limit)).alias("avoidance"))
+    if found.answers is not None:
+        by_move = by_move.unionByName(flags(found.answers).drop("cone"))
     return open_steps(scenes, config).select(*MOVE, "scene").join(by_move, list(MOVE)).groupBy(*ID).agg(
         F.lit(True).alias("cone"),
         F.coalesce(F.bool_or("leader"), F.lit(False)).alias("leader"),
         F.coalesce(F.bool_or("avoidance"), F.lit(False)).alias("avoidance"))
 
 
-def group_pairs(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
+def walks(moves: DataFrame, tracks: DataFrame, near: DataFrame, config: SceneConfig) -> DataFrame:
+    """Running sums of the distance between a primary and another pedestrian: ``n, s1, s2`` are their common moves and the sums of
+    distances and squares up to the move's ``place``, itself included; ``n0, s10, s20`` are without it.
+
+    ``moves`` have their place among the open ones of their primary, ``near`` are moves at which the two are near each other. A walk
+    takes in every move of any scene that holds one of these: up to ``pred_len - 1`` places to both sides. Distances are whole
+    nanometres, so differences of sums are exact.
+    """
+    pair, reach = ["dataset", "split", "pedestrian", "other"], config.pred_len - 1
+    spots = near.join(moves.select(*MOVE, "place"), list(MOVE)).select(*pair, "place").distinct()
+    order = Window.partitionBy(*pair).orderBy("place")
+    fresh = F.coalesce(F.col("place") - F.lag("place").over(order) > 2 * reach + 1, F.lit(True))
+    walk = ["dataset", "split", "pedestrian", "other", "walk"]
+    marked = spots.withColumn("_fresh", fresh.cast("bigint")).withColumn("walk", F.sum("_fresh").over(order))
+    runs = marked.groupBy(*walk).agg(F.min("place").alias("a"), F.max("place").alias("b"))
+    places = runs.select(*walk, F.explode(F.sequence(F.col("a") - reach, F.col("b") + reach)).alias("place"))
+    where = tracks.select(*FRAME, F.col("pedestrian").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    steps = (places.join(moves.select("dataset", "split", "pedestrian", "place", "frame", "x", "y"), ["dataset", "split", "pedestrian", "place"])
+             .join(where, [*FRAME, "other"], "left"))
+    d = F.round(dist(F.col("x"), F.col("y"), F.col("ox"), F.col("oy")) * 1e9).cast("decimal(18,0)")
+    known = steps.groupBy(*walk, "place").agg(  # one row even where somebody has several in a frame
+        F.count(d).alias("n1"), F.coalesce(F.sum(d), F.lit(0)).cast("decimal(38,0)").alias("d1"), F.coalesce(F.sum(d * d), F.lit(0)).cast("decimal(38,0)").alias("d2"))
+    upto = Window.partitionBy(*walk).orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    sums = {"n": "n1", "s1": "d1", "s2": "d2"}
+    added = known.select("*", *[F.sum(v).over(upto).alias(k) for k, v in sums.items()])
+    return added.select(*walk, "place", *sums, *[(F.col(k) - F.col(v)).alias(f"{k}0") for k, v in sums.items()])
+
+
+def group_pairs(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: Contacts | None = None) -> DataFrame:
     """Neighbours that walk with the primary: mean distance and its spread stay small over
     the common predicted steps (two at least).
 
-    A mean below the limit needs one step below it, so only pairs that come that near
-    are followed through the scene.
+    A mean below the limit needs one step below it, so only pairs that come that near are followed, once for all scenes: a scene
+    is the difference of two rows of running sums, at its last predicted move and before its first.
     """
     found = contacts(scenes, tracks, config) if found is None else found
-    steps = open_steps(scenes, config).select(*MOVE, "scene", "x", "y")
-    once_near = steps.select(*MOVE, "scene").join(found.where("near").select(*MOVE, "other"), list(MOVE)).select(*ID, "split", "other").distinct()
-    where = tracks.select("dataset", "split", "frame", F.col("pedestrian").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    both = (once_near.join(steps.drop("pframe", "pedestrian"), ["dataset", "split", "scene"])
-            .join(where, ["dataset", "split", "frame", "other"]))
-    d = dist(F.col("x"), F.col("y"), F.col("ox"), F.col("oy"))
-    return (both.groupBy(*ID, "other").agg(F.avg(d).alias("mean_dist"), F.stddev_pop(d).alias("std_dist"), F.count("*").alias("steps"))
-            .where((F.col("steps") >= 2) & (F.col("mean_dist") < config.grp_dist_thresh) & (F.col("std_dist") < config.grp_std_thresh)))
-
-
-def group_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: DataFrame | None = None) -> DataFrame:
+    near = found.pairs.where("near").select(*MOVE, "other")
+    own = ["dataset", "split", "pedestrian"]
+    moves = open_moves(scenes, config).withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy("frame", "x", "y", "pframe")).cast("bigint"))
+    sums = walks(moves, tracks, near, config)
+    starts = (scene_steps(scenes, config.obs_len, config.obs_len + 1).select(*MOVE, "scene", "x", "y").join(moves.select(*MOVE, "x", "y", "place"), [*MOVE, "x", "y"])
+              .select(*own, "scene", F.col("place").alias("first"), (F.col("place") + (config.pred_len - 1)).alias("last")))
+    walk = [*own, "other", "walk"]
+    before = sums.select(*walk, F.col("place").alias("first"), "n0", "s10", "s20")
+    upto = sums.select(*walk, F.col("place").alias("last"), "n", "s1", "s2")
+    n = (F.col("n") - F.col("n0")).cast("decimal(10,0)")
+    s1, s2 = F.col("s1") - F.col("s10"), F.col("s2") - F.col("s20")
+    both = starts.join(before, [*own, "first"]).join(upto, [*walk, "last"])
+    both = both.select(*ID, "other", n.alias("n"), s1.cast("decimal(19,0)").alias("s1"), s2.cast("decimal(28,0)").alias("s2")).where("n >= 2")
+    steps = F.col("n").cast("double")
+    mean = F.col("s1").cast("double") / steps / 1e9
+    spread = F.sqrt((F.col("n") * F.col("s2") - F.col("s1") * F.col("s1")).cast("double")) / steps / 1e9
+    return (both.select(*ID, "other", mean.alias("mean_dist"), spread.alias("std_dist"), F.col("n").cast("bigint").alias("steps"))
+            .where((F.col("mean_dist") < config.grp_dist_thresh) & (F.col("std_dist") < config.grp_std_thresh)))
+
+
+def group_flags(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found: Contacts | None = None) -> DataFrame:
     return group_pairs(scenes, tracks, config, found).groupBy(*ID).agg(F.lit(True).alias("grouped"))
 
 
@@ -121,7 +191,8 @@ def interactions(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> D
     """All flags of the scenes that have any. The contacts are few and answer two
     questions, so they are stored."""
     none = F.lit(False)
-    found = freeze(contacts(scenes, tracks, config))
+    found = contacts(scenes, tracks, config)
+    found = Contacts(freeze(found.pairs), found.answers)
     cone = cone_flags(scenes, tracks, config, found).withColumn("grouped", none)
     group = group_flags(scenes, tracks, config, found).select(*ID, none.alias("cone"), none.alias("leader"), none.alias("avoidance"), "grouped")
     return cone.unionByName(group).groupBy(*ID).agg(*[F.bool_or(c).alias(c) for c in ("cone", "leader", "avoidance", "grouped")])

@@ -47,7 +47,8 @@ def sized(config: SceneConfig, rows: int) -> SceneConfig:
     """The settings for a table of so many rows: where no group in it can be hot, none is looked
     for. A step repeats a row at most once, for the public test twin."""
     return config.but(hot_rows=NO_HOT_ROWS if 2 * rows <= config.hot_rows else config.hot_rows,
-                      hot_copies=NO_HOT_ROWS if rows <= config.hot_copies else config.hot_copies)
+                      hot_copies=NO_HOT_ROWS if rows <= config.hot_copies else config.hot_copies,
+                      crowded=NO_HOT_ROWS if rows <= config.crowded else config.crowded)
 
 
 def publish(scenes: DataFrame, split: DataFrame, config: SceneConfig) -> SceneSet:
