@@ -155,8 +155,44 @@ PARTS: dict[str, str] = {
 }
 
 
+_CURVE = "dataset, pedestrian"
+_LAG, _STEP = "lag({0}) OVER (PARTITION BY dataset, pedestrian ORDER BY k)", "lead({0}) OVER (PARTITION BY dataset, pedestrian ORDER BY k)"
+
+# Positions on the frame grid from the control points ``pts`` (dataset, pedestrian, f, x, y in metres): lines for up to five points, else the
+# spline. Its bends at the inner knots solve a tridiagonal system, one step of the recursion for each knot, forward and then back.
+SPLINE: dict[str, str] = {
+    "knots": f"""SELECT *, row_number() OVER (PARTITION BY {_CURVE} ORDER BY f, x, y) - 1 AS k, count(*) OVER (PARTITION BY {_CURVE}) AS n,
+        min(f) OVER (PARTITION BY {_CURVE}) AS first FROM pts""",
+    "spans": f"""SELECT *, {_STEP.format('f')} AS f2, {_STEP.format('x')} AS x2, {_STEP.format('y')} AS y2, CAST({_STEP.format('f')} - f AS DOUBLE) AS h FROM knots""",
+    "slopes": "SELECT *, (x2 - x) / h AS sx, (y2 - y) / h AS sy FROM spans WHERE f2 IS NOT NULL",
+    "inner_knots": f"SELECT *, {_LAG.format('h')} AS g, 6 * (sx - {_LAG.format('sx')}) AS rx, 6 * (sy - {_LAG.format('sy')}) AS ry FROM slopes WHERE n > 5",
+    "eq": f"""SELECT {_CURVE}, k, n, h, g, rx, ry, g - CASE WHEN k = n - 2 THEN h * h / g ELSE 0 END AS lo,
+        2 * (g + h) + CASE WHEN k = 1 THEN g * (g + h) / h ELSE 0 END + CASE WHEN k = n - 2 THEN h * (g + h) / g ELSE 0 END AS di,
+        h - CASE WHEN k = 1 THEN g * g / h ELSE 0 END AS up FROM inner_knots WHERE k >= 1""",
+    "fwd": f"""SELECT {_CURVE}, k, up, di, rx, ry FROM eq WHERE k = 1
+        UNION ALL SELECT e.dataset, e.pedestrian, e.k, e.up, e.di - e.lo / b.di * b.up, e.rx - e.lo / b.di * b.rx, e.ry - e.lo / b.di * b.ry
+        FROM fwd b JOIN eq e ON e.dataset = b.dataset AND e.pedestrian = b.pedestrian AND e.k = b.k + 1""",
+    "back": f"""SELECT f.dataset, f.pedestrian, f.k, f.rx / f.di AS mx, f.ry / f.di AS my FROM fwd f JOIN eq ON eq.dataset = f.dataset AND eq.pedestrian = f.pedestrian AND eq.k = f.k WHERE f.k = n - 2
+        UNION ALL SELECT f.dataset, f.pedestrian, f.k, (f.rx - f.up * b.mx) / f.di, (f.ry - f.up * b.my) / f.di
+        FROM back b JOIN fwd f ON f.dataset = b.dataset AND f.pedestrian = b.pedestrian AND f.k = b.k - 1""",
+    "bends": f"""SELECT {_CURVE}, k, mx, my FROM back
+        UNION ALL SELECT dataset, pedestrian, 0, ((g + h) * a.mx - g * b.mx) / h, ((g + h) * a.my - g * b.my) / h
+          FROM eq JOIN back a USING (dataset, pedestrian, k) JOIN back b ON b.dataset = eq.dataset AND b.pedestrian = eq.pedestrian AND b.k = 2 WHERE k = 1
+        UNION ALL SELECT dataset, pedestrian, n - 1, ((g + h) * a.mx - h * b.mx) / g, ((g + h) * a.my - h * b.my) / g
+          FROM eq JOIN back a USING (dataset, pedestrian, k) JOIN back b ON b.dataset = eq.dataset AND b.pedestrian = eq.pedestrian AND b.k = n - 3 WHERE k = n - 2""",
+    "grid": """SELECT s.*, a.mx AS ax, a.my AS ay, b.mx AS bx, b.my AS by_, unnest(generate_series(
+          CASE WHEN f = first THEN f // 10 * 10 + 10 ELSE CAST(ceil(f / 10) AS BIGINT) * 10 END, f2 - 1, 10)) AS frame
+        FROM slopes s LEFT JOIN bends a USING (dataset, pedestrian, k)
+        LEFT JOIN bends b ON b.dataset = s.dataset AND b.pedestrian = s.pedestrian AND b.k = s.k + 1""",
+    "curves": """SELECT dataset, frame, pedestrian,
+          CASE WHEN n <= 5 THEN sx * (frame - f) + x ELSE a * x + b * x2 + ((a * a * a - a) * ax + (b * b * b - b) * bx) * h * h / 6 END AS x,
+          CASE WHEN n <= 5 THEN sy * (frame - f) + y ELSE a * y + b * y2 + ((a * a * a - a) * ay + (b * b * b - b) * by_) * h * h / 6 END AS y
+        FROM (SELECT *, (frame - f) / h AS b, 1 - (frame - f) / h AS a FROM grid)""",
+}
+
+
 def sql(upto: str, select: str, **more: str) -> str:
     """``select`` over the shared tables up to and including ``upto``, and some of its own."""
     names = list(PARTS)
     tables = {n: PARTS[n] for n in names[:names.index(upto) + 1]} | more
-    return "WITH " + ",\n".join(f"{n} AS ({body})" for n, body in tables.items()) + "\n" + select
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({body})" for n, body in tables.items()) + "\n" + select

@@ -6,19 +6,20 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pathloom.catalog.base import CONFIG, lines, query, real, rounded, scenes, split_tracks, sql, tracks, typed, walk
+from pathloom.catalog.base import CONFIG, SPLINE, lines, query, real, rounded, scenes, split_tracks, sql, tracks, typed, walk
 from pathloom.functions import geometry as G
 from pathloom.functions.draws import jitter
 from pathloom.functions.text import clock_frame, path_id, tokens
 from pathloom.operators.frames import stride_frame
 from pathloom.operators.ordered import piece_window, segments
+from pathloom.operators.resample import SCALE_X, SCALE_Y
 from pathloom.operators.pairs import noisy_observations, scene_paths
 from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
 from pathloom.sinks import writers as W
 from pathloom.sources import files as X
 from pathloom.sources import lines as L
 from pathloom.sources import tables as T
-from pathloom.storage import work_folder
+from pathloom.storage import new_folder, work_folder
 
 TRACK = ("dataset", "frame", "pedestrian", "x", "y")
 
@@ -92,22 +93,38 @@ def src_cff(spark, sf_dir):
     return L.parse_lines(lines(spark, sf_dir, STATION), "cff")
 
 
+def in_files(spark, lines, *order):
+    """Write ``value`` in the given order into one text file for each ``file``; the folder."""
+    folder = new_folder(spark, "lines")
+    lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(folder)
+    return folder
+
+
+def named(rows, ending):
+    """Lines that were read, with the name their file was written under instead of Spark's."""
+    return rows.withColumn("path", F.regexp_replace("path", r"/file=([^/]*)/[^/]*$", rf"/in/$1{ending}"))
+
+
 def control_lines(spark, sf_dir):
     """Four files of control points: a header before every sixth event and each pedestrian."""
-    path = "concat('/in/scene_', CAST(pedestrian % 4 AS STRING), '.vsp')"
+    file = "concat('scene_', CAST(pedestrian % 4 AS STRING))"
     rows = walk(spark, sf_dir).withColumn("at", F.col("pedestrian") * 1_000_000_000 + F.col("event_id") * 2)
-    heads = (rows.where(F.col("event_id") % 6 == 0).selectExpr(f"{path} AS path", "at AS line_no", "'7 - Num of control points' AS value")
+    heads = (rows.where(F.col("event_id") % 6 == 0).selectExpr(f"{file} AS file", "at AS line_no", "'7 - Num of control points' AS value")
              .unionByName(rows.select("pedestrian").distinct().selectExpr(
-                 f"{path} AS path", "pedestrian * 1000000000L - 1 AS line_no", "'9 - the number of splines' AS value")))
-    points = rows.selectExpr(f"{path} AS path", "at + 1 AS line_no",
+                 f"{file} AS file", "pedestrian * 1000000000L - 1 AS line_no", "'9 - the number of splines' AS value")))
+    points = rows.selectExpr(f"{file} AS file", "at + 1 AS line_no",
                              f"concat_ws(' ', {txt('xc')}, {txt('yc')}, {txt('frame + event_id % 7')}, '0.1', ' - (position)') AS value")
     return heads.unionByName(points)
 
 
-@query("src_crowds")
+@query("src_crowds", sql("walk", "SELECT dataset, frame, pedestrian, round(x, 6) AS x, round(y, 6) AS y FROM curves",
+    heads="SELECT *, event_id % 6 = 0 OR row_number() OVER (PARTITION BY pedestrian ORDER BY event_id) = 1 AS fresh FROM walk",
+    pts=f"""SELECT 'scene_' || (pedestrian % 4) AS dataset, CAST(sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY pedestrian % 4 ORDER BY pedestrian, event_id) - 1 AS BIGINT) AS pedestrian,
+        frame + event_id % 7 AS f, CAST(xc AS DOUBLE) * {real(SCALE_X)} AS x, CAST(yc AS DOUBLE) * {real(SCALE_Y)} AS y FROM heads""", **SPLINE))
 def src_crowds(spark, sf_dir):
-    """Splines have no SQL; the tests compare them with a dense solution."""
-    return rounded(X.parse_crowds(control_lines(spark, sf_dir)), "x", "y")
+    """Written as files of control points and read again."""
+    folder = in_files(spark, control_lines(spark, sf_dir), "line_no")
+    return rounded(X.parse_crowds(named(X.numbered_lines(spark, f"{folder}/*"), ".vsp")), "x", "y")
 
 
 @query("src_mot_xml", sql("walk", """SELECT 'walk' AS dataset, frame + event_id % 2 AS frame, pedestrian + shift AS pedestrian,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pathloom.catalog.base import query, real, sql, walk
+from pathloom.catalog.base import SPLINE, query, real, sql, walk
 from pathloom.catalog.source_queries import MIDPOINT_SQL, station_lines
 from pathloom.operators import synth as Y
 from pathloom.operators.ordered import segments
@@ -117,26 +117,19 @@ def op_midpoint(spark, sf_dir):
     return midpoints(station_points(station_lines(spark, sf_dir)))
 
 
-# Persons with 1, 2, 5, 6 and all of their control points, which lie on a cubic curve of the
-# time; the spline gives the curve itself, few points give the lines between them.
-_T = "(f - first) / CAST(100 AS DOUBLE)"
-CURVE = {"x": "3 + 2 * s - CAST('0.5' AS DOUBLE) * s * s + CAST('0.1' AS DOUBLE) * s * s * s", "y": "1 - s + CAST('0.05' AS DOUBLE) * s * s * s"}
+# Every row is a control point. Of five pedestrians one keeps its whole path; those of the others are cut into persons of 1, 2, 5 and 6 points.
+LENGTHS = (1, 2, 5, 6)
 
 
-@query("op_resample", sql("walk", f"""SELECT dataset, frame, pedestrian, round(CASE WHEN n <= 5 THEN (x2 - x) / (f2 - f) * (frame - f) + x ELSE {real(SCALE_X)} * ({CURVE['x']}) END, 4) AS x,
-      round(CASE WHEN n <= 5 THEN (y2 - y) / (f2 - f) * (frame - f) + y ELSE {real(SCALE_Y)} * ({CURVE['y']}) END, 4) AS y
-    FROM (SELECT *, (frame - first) / CAST(100 AS DOUBLE) AS s FROM (
-      SELECT *, unnest(generate_series(CASE WHEN f = first THEN f // 10 * 10 + 10 ELSE CAST(ceil(f / 10) AS BIGINT) * 10 END, f2 - 1, 10)) AS frame FROM spans WHERE f2 IS NOT NULL))""",
-    numbered="SELECT *, row_number() OVER (PARTITION BY pedestrian ORDER BY frame) AS rn FROM walk",
-    times="""SELECT 'walk' AS dataset, pedestrian, frame + event_id % 7 AS f, min(frame + event_id % 7) OVER (PARTITION BY pedestrian) AS first, count(*) OVER (PARTITION BY pedestrian) AS n
-        FROM numbered WHERE rn <= [1, 2, 5, 6, 1000000][CAST(pedestrian % 5 AS INTEGER) + 1]""",
-    points=f"SELECT *, {real(SCALE_X)} * ({CURVE['x']}) AS x, {real(SCALE_Y)} * ({CURVE['y']}) AS y FROM (SELECT *, {_T} AS s FROM times)",
-    spans="SELECT * EXCLUDE (s), lead(f) OVER w AS f2, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM points WINDOW w AS (PARTITION BY pedestrian ORDER BY f)"))
+@query("op_resample", sql("walk", "SELECT dataset, frame, pedestrian, round(x, 6) AS x, round(y, 6) AS y FROM curves",
+    numbered=f"SELECT *, row_number() OVER (PARTITION BY pedestrian ORDER BY frame) - 1 AS place, {list(LENGTHS)}[CAST(pedestrian % 5 AS INTEGER) + 1] AS size FROM walk",
+    pts=f"""SELECT 'walk' AS dataset, pedestrian * 1000000 + coalesce(place // size, 0) AS pedestrian, frame + event_id % 7 AS f,
+        CAST(xc AS DOUBLE) * {real(SCALE_X)} AS x, CAST(yc AS DOUBLE) * {real(SCALE_Y)} AS y FROM numbered""", **SPLINE))
 def op_resample(spark, sf_dir):
-    rows = segments(walk(spark, sf_dir), ["pedestrian"], "frame").withColumn("f", F.col("frame") + F.col("event_id") % 7)
-    rows = rows.where(F.col("row_no") <= F.element_at(F.lit([1, 2, 5, 6, 1000000]), (F.col("pedestrian") % 5 + 1).cast("int")))
-    first = rows.groupBy("pedestrian").agg(F.min("f").alias("first"))
-    times = rows.join(first, "pedestrian").withColumn("s", F.expr(_T))
-    points = times.select(F.lit("walk").alias("dataset"), "pedestrian", *[F.expr(c).alias(n) for n, c in CURVE.items()], "f")
+    rows = segments(walk(spark, sf_dir), ["pedestrian"], "frame")
+    size = F.get(F.lit(list(LENGTHS)), (F.col("pedestrian") % 5).cast("int"))
+    person = F.col("pedestrian") * 1_000_000 + F.coalesce(F.floor((F.col("row_no") - 1) / size), F.lit(0))
+    points = rows.select(F.lit("walk").alias("dataset"), person.alias("pedestrian"), F.col("xc").cast("double").alias("x"), F.col("yc").cast("double").alias("y"),
+                         (F.col("frame") + F.col("event_id") % 7).alias("f"))
     found = resample(points)
-    return found.select("dataset", "frame", "pedestrian", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+    return found.select("dataset", "frame", "pedestrian", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
