@@ -11,14 +11,17 @@ from pathloom.functions import geometry as G
 from pathloom.functions.draws import jitter
 from pathloom.functions.text import clock_frame, path_id, tokens
 from pathloom.operators.frames import stride_frame
-from pathloom.operators.ordered import piece_window, segments
+from pathloom.operators.ordered import number_in_order, piece_window, segments
 from pathloom.operators.resample import SCALE_X, SCALE_Y
 from pathloom.operators.pairs import noisy_observations, scene_paths
+from pathloom.schema import CAR_HEADER, DUKE_COLUMNS
+from pathloom.schema import NDJSON as NDJSON_LINE
 from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
 from pathloom.sinks import writers as W
 from pathloom.sources import files as X
 from pathloom.sources import lines as L
 from pathloom.sources import tables as T
+from pathloom.sources.tagged import SOURCES, tag
 from pathloom.storage import new_folder, work_folder
 
 TRACK = ("dataset", "frame", "pedestrian", "x", "y")
@@ -60,10 +63,23 @@ CONTROLLED = joined(", ", *PLAIN)
 STANDARD = joined("\t", *PLAIN)
 
 
+def in_files(spark, lines, *order):
+    """Write ``value`` in the given order into one text file for each ``file``; the folder."""
+    folder = new_folder(spark, "lines")
+    lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(folder)
+    return folder
+
+
+def named(rows, ending):
+    """Lines that were read, with the name their file was written under instead of Spark's."""
+    return rows.withColumn("path", F.regexp_replace("path", r"/file=([^/]*)/[^/]*$", rf"/in/$1{ending}"))
+
+
 def _line_query(name: str, fmt: str, text: str, oracle: str) -> None:
     @query(name, oracle)
     def run(spark, sf_dir):
-        return L.parse_lines(lines(spark, sf_dir, text), fmt, mode="DROP")
+        folder = in_files(spark, lines(spark, sf_dir, text).withColumn("file", F.pmod("pedestrian", F.lit(8))), "event_id")
+        return L.read_lines(spark, f"{folder}/*", fmt, "walk", mode="DROP")
 
 
 _line_query("src_biwi", "biwi", BIWI, expected(BIWI, " ", num(1, " - 1"), num(2), dbl(3), dbl(5)))
@@ -93,18 +109,6 @@ def src_cff(spark, sf_dir):
     return L.parse_lines(lines(spark, sf_dir, STATION), "cff")
 
 
-def in_files(spark, lines, *order):
-    """Write ``value`` in the given order into one text file for each ``file``; the folder."""
-    folder = new_folder(spark, "lines")
-    lines.repartition("file").sortWithinPartitions("file", *order).select("file", "value").write.partitionBy("file").text(folder)
-    return folder
-
-
-def named(rows, ending):
-    """Lines that were read, with the name their file was written under instead of Spark's."""
-    return rows.withColumn("path", F.regexp_replace("path", r"/file=([^/]*)/[^/]*$", rf"/in/$1{ending}"))
-
-
 def control_lines(spark, sf_dir):
     """Four files of control points: a header before every sixth event and each pedestrian."""
     file = "concat('scene_', CAST(pedestrian % 4 AS STRING))"
@@ -127,27 +131,43 @@ def src_crowds(spark, sf_dir):
     return rounded(X.parse_crowds(named(X.numbered_lines(spark, f"{folder}/*"), ".vsp")), "x", "y")
 
 
-@query("src_mot_xml", sql("walk", """SELECT 'walk' AS dataset, frame + event_id % 2 AS frame, pedestrian + shift AS pedestrian,
+XML_SQL = """SELECT 'walk' AS dataset, frame + event_id % 2 AS frame, pedestrian + shift AS pedestrian,
     CAST(xc + shift AS DOUBLE) / 100 AS x, CAST(yc AS DOUBLE) / 100 AS y
     FROM walk, (VALUES (0), (1000000)) AS objects(shift)
-    WHERE (frame + event_id % 2) % 2 = 0 AND event_id % 5 <> 0 AND (shift = 0 OR event_id % 3 = 0)"""))
-def src_mot_xml(spark, sf_dir):
-    thing = lambda shift: f"""concat('<object id="', {txt(f'pedestrian + {shift}')}, '"><box xc="', {txt(f'xc + {shift}')}, '" yc="', {txt('yc')}, '"/></object>')"""
-    text = f"""concat('<frame number="', {txt('frame + event_id % 2')}, '"><objectlist>', CASE WHEN event_id % 5 = 0 THEN '' ELSE {thing(0)} END,
+    WHERE (frame + event_id % 2) % 2 = 0 AND event_id % 5 <> 0 AND (shift = 0 OR event_id % 3 = 0)"""
+
+
+def xml_text(number):
+    """SQL of a frame element over several lines."""
+    thing = lambda shift: f"""concat('<object id="', {txt(f'pedestrian + {shift}')}, '"><box xc="', {txt(f'xc + {shift}')}, '" yc="', {txt('yc')}, '"/></object>', chr(10))"""
+    return f"""concat('<frame number="', {txt(number)}, '"><objectlist>', chr(10), CASE WHEN event_id % 5 = 0 THEN '' ELSE {thing(0)} END,
         CASE WHEN event_id % 3 = 0 AND event_id % 5 <> 0 THEN {thing(1000000)} ELSE '' END, '</objectlist></frame>')"""
-    return X.parse_mot_xml(lines(spark, sf_dir, text), "walk")
+
+
+def xml_lines(spark, sf_dir, number="frame + event_id % 2"):
+    return lines(spark, sf_dir, xml_text(number)).withColumn("file", F.pmod("pedestrian", F.lit(4)))
+
+
+@query("src_mot_xml", sql("walk", XML_SQL))
+def src_mot_xml(spark, sf_dir):
+    return X.read_mot_xml(spark, f"{in_files(spark, xml_lines(spark, sf_dir), 'event_id')}/*", "walk")
 
 
 FORUM = f"""CASE WHEN event_id % 97 = 0 THEN '% a remark' ELSE concat(' TRACK.R', {txt('pedestrian')}, '=[[', {txt('xc')}, ' ', {txt('yc')}, ' ', {txt('frame')}, '];[',
     {txt('xc + 1')}, ' ', {txt('yc')}, ' ', {txt('frame + 1')}, ']];') END"""
 
 
-@query("src_edinburgh", sql("walk", f"""SELECT 'in' AS dataset, frame + step + file * 1000000 AS frame, pedestrian + file * 1000000 AS pedestrian,
+@query("src_edinburgh", sql("walk", f"""SELECT 'forum' AS dataset, frame + step + file * 1000000 AS frame, pedestrian + file * 1000000 AS pedestrian,
     CAST(xc + step AS DOUBLE) * {real(0.0247)} AS x, CAST(yc AS DOUBLE) * {real(0.0247)} AS y
-    FROM (SELECT *, pedestrian % 3 AS file FROM walk), (VALUES (0), (1)) AS points(step)
+    FROM (SELECT *, [0, 2, 3][CAST(pedestrian % 3 AS INTEGER) + 1] AS file FROM walk), (VALUES (0), (1)) AS points(step)
     WHERE event_id % 97 <> 0 AND (frame + step + file * 1000000) % 3 = 0"""))
 def src_edinburgh(spark, sf_dir):
-    return X.parse_edinburgh(lines(spark, sf_dir, FORUM, "concat('/in/tracks_', CAST(pedestrian % 3 AS STRING), '.txt')"))
+    """Three files with lines, and an empty one that uses up a number."""
+    rows = lines(spark, sf_dir, FORUM).withColumn("file", F.concat(F.lit("tracks_"), F.element_at(F.array(F.lit(0), F.lit(2), F.lit(3)), (F.col("pedestrian") % 3 + 1).cast("int"))))
+    folder = in_files(spark, rows, "event_id")
+    empty = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/file=tracks_1/part-0.txt")
+    empty.getFileSystem(spark._jsc.hadoopConfiguration()).create(empty).close()
+    return X.read_edinburgh(spark, f"{folder}/*", "forum")
 
 
 STATION_SQL = f"""SELECT pedestrian, event_id, frame, CAST(xc AS DOUBLE) * 30 / 1920 AS x, CAST(yc AS DOUBLE) * 70 / 1080 AS y,
@@ -161,14 +181,15 @@ def station_lines(spark, sf_dir):
     """One number per line, and a blank one after every triple; a file per pedestrian."""
     numbers = F.array(*[F.col(c).cast("string") for c in ("xc", "yc", "shown")], F.lit(""))
     return (walk(spark, sf_dir).withColumn("shown", F.col("frame") + F.col("event_id") % 3)
-            .select(F.concat(F.lit("/in/"), F.lpad(F.col("pedestrian").cast("string"), 8, "0"), F.lit(".txt")).alias("path"), "event_id",
-                    F.posexplode(numbers).alias("k", "value"))
-            .select("path", (F.col("event_id") * 4 + F.col("k")).alias("line_no"), "value"))
+            .select(F.lpad(F.col("pedestrian").cast("string"), 8, "0").alias("file"), "event_id", F.posexplode(numbers).alias("k", "value"))
+            .select("file", F.concat(F.lit("/in/"), "file", F.lit(".txt")).alias("path"), (F.col("event_id") * 4 + F.col("k")).alias("line_no"), "value"))
 
 
 @query("src_syi", MIDPOINT_SQL)
 def src_syi(spark, sf_dir):
-    return X.parse_syi(station_lines(spark, sf_dir))
+    """Written as a file for each pedestrian and read again."""
+    folder = in_files(spark, station_lines(spark, sf_dir), "line_no")
+    return X.parse_syi(named(X.numbered_lines(spark, f"{folder}/*"), ".txt"))
 
 
 @query("src_dukemtmc", sql("walk", """SELECT 'duke' AS dataset, CAST(frame AS BIGINT) AS frame, pedestrian, CAST(xc AS DOUBLE) AS x, CAST(yc AS DOUBLE) AS y
@@ -190,12 +211,21 @@ def src_wildtrack(spark, sf_dir):
     return X.parse_wildtrack(lines(spark, sf_dir, PEOPLE, f"concat('/cam/in/', lpad({txt('frame')}, 8, '0'), '.json')"))
 
 
-@query("src_car", sql("walk", f"""SELECT 'in' AS dataset, frame, pedestrian, CAST(xc AS DOUBLE) * {real(5.0 / 162)} AS x, CAST(yc AS DOUBLE) * {real(5.0 / 162)} AS y
-    FROM walk WHERE event_id % 4 = 2 AND frame % 12 = 0"""))
+def car_files(spark, sf_dir, text):
+    """Files of vehicle lines below their header, named after a frame."""
+    rows = lines(spark, sf_dir, text).select(F.lpad((F.floor(F.col("frame") / 100) * 6).cast("string"), 8, "0").alias("file"), "event_id", "value")
+    heads = rows.select("file").distinct().select("file", F.lit(-1).cast("bigint").alias("event_id"), F.lit(",".join(CAR_HEADER)).alias("value"))
+    return in_files(spark, rows.unionByName(heads), "event_id")
+
+
+CAR_LINE = joined(",", "pedestrian", "xc", "yc", "'1'", "'1'", "'1'", "'1'", "'1'", "'1'", "event_id % 4", "'0'")
+
+
+@query("src_car", sql("walk", f"""SELECT 'in' AS dataset, CAST(frame // 100 * 6 AS BIGINT) AS frame, pedestrian, CAST(xc AS DOUBLE) * {real(5.0 / 162)} AS x, CAST(yc AS DOUBLE) * {real(5.0 / 162)} AS y
+    FROM walk WHERE event_id % 4 = 2 AND frame // 100 % 2 = 0"""))
 def src_car(spark, sf_dir):
-    text = joined(",", "pedestrian", "xc", "yc", "'1'", "'1'", "'1'", "'1'", "'1'", "'1'", "event_id % 4", "'0'").replace("event_id % 97 = 0", "false")
-    rows = lines(spark, sf_dir, text, f"concat('/cars/in/', {txt('frame')}, '.csv')").select("path", *X.split_car_line(F.col("value")))
-    return X.parse_car(rows)
+    folder = car_files(spark, sf_dir, CAR_LINE.replace("event_id % 97 = 0", "false"))
+    return X.parse_car(named(X.car_lines(spark, f"{folder}/*"), ".csv"))
 
 
 NDJSON = f"""CASE WHEN event_id % 10 = 0 THEN '{{"scene": {{"id": 1, "p": 2, "s": 3, "e": 4, "fps": 2.5, "tag": 0}}}}'
@@ -302,10 +332,15 @@ def set_union_out(spark, sf_dir):
     return rows.groupBy("dataset", "split", F.regexp_extract("value", r'^\{"(\w+)"', 1).alias("kind")).agg(F.count("*").alias("n_lines"))
 
 
-@query("snk_tracks_only", sql("tracks", "SELECT * FROM tracks"))
+@query("snk_tracks_only", sql("tracks", "SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY pedestrian, frame, x, y) - 1 AS place FROM tracks"))
 def snk_tracks_only(spark, sf_dir):
-    """The lines, read again; the test looks at their order."""
-    return T.parse_ndjson_tracks(W.tracks_only(tracks(spark, sf_dir))).drop("prediction_number")
+    """Written, and read again with the place of every line in the files of its dataset."""
+    folder = f"{work_folder(spark)}/ndjson-{uuid.uuid4().hex}"
+    W.write_tracks_only(tracks(spark, sf_dir), folder)
+    rows = X.numbered_lines(spark, f"{folder}/*").withColumn("dataset", F.regexp_extract("path", "dataset=([^/]*)/", 1))
+    placed = number_in_order(rows, ["dataset"], ["path", "line_no"], "place").select("dataset", "value", "place")
+    track = F.from_json("value", NDJSON_LINE)["track"]
+    return placed.select("dataset", track["f"].alias("frame"), track["p"].alias("pedestrian"), track["x"].alias("x"), track["y"].alias("y"), "place")
 
 
 @query("snk_csv", sql("tracks", "SELECT * FROM tracks"))
@@ -383,9 +418,70 @@ def flt_code(spark, sf_dir):
     return one(5).unionByName(one(1)).groupBy("camera").agg(F.count("*").alias("n_rows"))
 
 
-@query("flt_malformed", sql("walk", "SELECT 'walk' AS dataset, value, 'not a number: frame, pedestrian, x, y' AS reason FROM raw WHERE value = 'broken line'", raw=f"SELECT {BIWI} AS value FROM walk"))
+def _odd(good: str, bad: str) -> str:
+    """Every 97th event has something unreadable."""
+    return f"CASE WHEN event_id % 97 = 0 THEN {bad} ELSE {good} END"
+
+
+# Of each format, lines some of which are unreadable; what is then rejected, in SQL, and why. A format with its own names is written by ``MAKERS``.
+_SOME = ("xc", "'oops'", txt("yc"))
+MALFORMED: dict[str, tuple[str, str, str]] = {
+    "biwi": (BIWI, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "mot": (MOT, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "spaced": (SPACED, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "lcas": (LCAS, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "controlled": (CONTROLLED, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "standard": (STANDARD, "'broken line'", "not a number: frame, pedestrian, x, y"),
+    "cff": (f"concat_ws(';', '2013-02-06T07:00:02:100', 'PIW', {_odd(txt('xc'), _SOME[1])}, {txt('yc')}, {txt('pedestrian')})",
+            f"concat_ws(';', '2013-02-06T07:00:02:100', 'PIW', 'oops', {txt('yc')}, {txt('pedestrian')})", "not a number: x"),
+    "crowds": (f"concat_ws(' ', {txt('xc')}, {_odd(txt('yc'), _SOME[1])}, {txt('frame')}, '0.1')", f"concat_ws(' ', {txt('xc')}, 'oops', {txt('frame')}, '0.1')", "not a number: y"),
+    "edinburgh": (f"concat('TRACK.R', {txt('pedestrian')}, '=[[', {txt('xc')}, ' ', {txt('yc')}, ' ', {_odd(txt('frame'), _SOME[1])}, ']];')",
+                  f"concat('TRACK.R', {txt('pedestrian')}, '=[[', {txt('xc')}, ' ', {txt('yc')}, ' oops]]')", "not a number: frame"),
+    "wildtrack": (f"""concat('{{"personID": ', {txt('pedestrian')}, {_odd(f"concat(', \"positionID\": ', {txt('event_id')})", "''")}, '}}')""",
+                  f"""concat('{{"personID":', {txt('pedestrian')}, '}}')""", "not a number: x, y"),
+    "ndjson": (_odd(f"""concat('{{"track": {{"f": ', {txt('frame')}, ', "p": ', {txt('pedestrian')}, ', "x": ', {txt('xc')}, '.0, "y": ', {txt('yc')}, '.0}}}}')""", "'broken line'"),
+               "'broken line'", "not a JSON line"),
+}
+
+
+MALFORMED |= {
+    "dukemtmc": ("", "CAST(NULL AS STRING)", "not a number: x"), "car": (CAR_LINE, "'broken line'", "not a vehicle line"),
+    "mot_xml": ("", xml_text(_odd(txt("frame"), _SOME[1])), "not a frame element"), "syi": ("", f"concat_ws(' ', {txt('xc')}, {txt('yc')}, 'oops')", "not a number: frame")}
+
+
+def _malformed(spark, sf_dir, fmt):
+    """Rows of a format as its reader gives them, from files written here."""
+    read, rows = SOURCES[fmt].read, lines(spark, sf_dir, MALFORMED[fmt][0] or "''")
+    block = F.lpad(F.floor(F.col("frame") / 100).cast("string"), 8, "0")
+    if fmt == "dukemtmc":
+        folder = new_folder(spark, "lines")
+        cells = {"camera": "5D", "id": "CAST(pedestrian AS DOUBLE)", "frame": "CAST(frame AS DOUBLE)", "world_x": _odd("CAST(xc AS DOUBLE)", "CAST(NULL AS DOUBLE)"), "world_y": "CAST(yc AS DOUBLE)"}
+        walk(spark, sf_dir).selectExpr(*[f"{cells.get(c, '0D')} AS {c}" for c in DUKE_COLUMNS]).write.parquet(folder)
+        return read(spark, folder)
+    if fmt == "car":
+        return named(read(spark, f"{car_files(spark, sf_dir, CAR_LINE)}/*"), ".csv")
+    if fmt == "mot_xml":
+        return read(spark, f"{in_files(spark, xml_lines(spark, sf_dir, _odd(txt('frame'), _SOME[1])), 'event_id')}/*")
+    if fmt == "syi":
+        rows = station_lines(spark, sf_dir).withColumn("value", F.expr("CASE WHEN line_no % 4 = 2 AND (line_no div 4) % 97 = 0 THEN 'oops' ELSE value END"))
+        return named(read(spark, f"{in_files(spark, rows, 'line_no')}/*"), ".txt")
+    if fmt == "wildtrack":
+        lists = rows.groupBy(block.alias("file")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value"))
+        return named(read(spark, f"{in_files(spark, lists)}/*"), ".json")
+    return read(spark, f"{in_files(spark, rows.withColumn('file', F.pmod('pedestrian', F.lit(4))), 'event_id')}/*")
+
+
+@query("flt_malformed", sql("walk", "\nUNION ALL ".join(
+    f"SELECT '{fmt}' AS fmt, {value} AS value, '{reason}' AS reason FROM walk WHERE event_id % 97 = 0" for fmt, (_, value, reason) in sorted(MALFORMED.items()))))
 def flt_malformed(spark, sf_dir):
-    return L.rejects(lines(spark, sf_dir, BIWI), "biwi").drop("path")
+    """What is rejected of each format, from files, by the one scan that gives the tracks as well."""
+    out = None
+    for fmt in sorted(MALFORMED):
+        bad = tag(_malformed(spark, sf_dir, fmt), fmt).rejects
+        value = F.lit(None).cast("string") if fmt == "dukemtmc" else F.col("value")
+        bad = bad.select(F.lit(fmt).alias("fmt"), value.alias("value"), "reason")
+        out = bad if out is None else out.unionByName(bad)
+    return out
 
 
 _NEXT = "SELECT dataset, pedestrian, frame, x, y, lead(x) OVER w AS bx, lead(y) OVER w AS by_, lead(x, 2) OVER w AS cx, lead(y, 2) OVER w AS cy FROM tracks WINDOW w AS (PARTITION BY dataset, pedestrian ORDER BY frame)"

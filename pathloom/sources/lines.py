@@ -83,36 +83,49 @@ def with_dataset(lines: DataFrame, dataset: str | None, default: Column) -> Data
     return lines.withColumn("dataset", F.lit(dataset) if dataset else default)
 
 
-def _parsed(lines: DataFrame, fmt: LineFormat, dataset: str | None) -> DataFrame:
-    rows = with_dataset(lines, dataset, file_stem(F.col("path"))).withColumn("_parts", tokens(F.col("value"), fmt.separator))
-    if fmt.wanted is not None:
-        rows = rows.where(F.coalesce(fmt.wanted(F.col("_parts")), F.lit(False)))
+def unreadable(*columns: str) -> Column:
+    """Why a row cannot be used: the columns that should hold a number and do not; null if all do."""
+    bad = F.concat_ws(", ", *[F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), c) for c in columns])
+    return F.when(bad != "", F.concat(F.lit("not a number: "), bad))
+
+
+def settle(tagged: DataFrame, name: str, mode: str = "FAILFAST") -> DataFrame:
+    """The readable rows of a tagged table, one with ``value`` and ``reason``. An unreadable one is an error; with ``mode="DROP"`` it is left out."""
+    if mode == "FAILFAST":
+        bad = F.raise_error(F.concat(F.lit(f"{name}: "), F.col("reason"), F.lit(" in line: "), F.coalesce("value", F.lit(""))))
+        return tagged.withColumn("dataset", F.when(F.col("reason").isNotNull(), bad.cast("string")).otherwise(F.col("dataset")))
+    return tagged.where(F.col("reason").isNull())
+
+
+def tag_lines(lines: DataFrame, fmt: str, dataset: str | None = None) -> DataFrame:
+    """All lines of a format that may hold a position, parsed, with the ``reason`` where that fails."""
+    spec = FORMATS[fmt]
+    rows = with_dataset(lines, dataset, file_stem(F.col("path"))).withColumn("_parts", tokens(F.col("value"), spec.separator))
+    if spec.wanted is not None:
+        rows = rows.where(F.coalesce(spec.wanted(F.col("_parts")), F.lit(False)))
     parts = F.col("_parts")
-    rows = rows.select("dataset", "path", "value", fmt.frame(parts).alias("frame"), fmt.pedestrian(parts).alias("pedestrian"),
-                       fmt.x(parts).alias("x"), fmt.y(parts).alias("y"))
-    reason = F.concat_ws(", ", *[F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), c) for c in ("frame", "pedestrian", "x", "y")])
-    return rows.withColumn("reason", F.when(reason != "", F.concat(F.lit("not a number: "), reason)))
+    rows = rows.select("dataset", "path", "value", spec.frame(parts).alias("frame"), spec.pedestrian(parts).alias("pedestrian"),
+                       spec.x(parts).alias("x"), spec.y(parts).alias("y"))
+    return rows.withColumn("reason", unreadable("frame", "pedestrian", "x", "y"))
+
+
+def thinned(rows: DataFrame, stride: int) -> DataFrame:
+    """Tracks of the frames that a format keeps."""
+    rows = rows if stride == 1 else rows.where(F.pmod("frame", F.lit(stride)) == 0)
+    return rows.select("dataset", "frame", "pedestrian", "x", "y")
 
 
 def parse_lines(lines: DataFrame, fmt: str, dataset: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Lines (path, value) of a format to tracks, thinned as the format demands. The
     dataset is the given one, a ``dataset`` column of the lines, or the file's name. A malformed line is
     an error; with ``mode="DROP"`` it is left out, to be fetched by ``rejects``."""
-    spec = FORMATS[fmt]
-    rows = _parsed(lines, spec, dataset)
-    if mode == "FAILFAST":
-        bad = F.raise_error(F.concat(F.lit(f"{fmt}: "), F.col("reason"), F.lit(" in line: "), F.col("value")))
-        rows = rows.withColumn("frame", F.when(F.col("reason").isNotNull(), bad.cast("bigint")).otherwise(F.col("frame")))
-    else:
-        rows = rows.where(F.col("reason").isNull())
-    if spec.stride > 1:
-        rows = rows.where(F.pmod("frame", F.lit(spec.stride)) == 0)
-    return rows.select("dataset", "frame", "pedestrian", "x", "y")
+    return thinned(settle(tag_lines(lines, fmt, dataset), fmt, mode), FORMATS[fmt].stride)
 
 
 def rejects(lines: DataFrame, fmt: str, dataset: str | None = None) -> DataFrame:
-    """The lines ``parse_lines`` leaves out because they do not parse, with the reason."""
-    return _parsed(lines, FORMATS[fmt], dataset).where(F.col("reason").isNotNull()).select("dataset", "path", "value", "reason")
+    """The lines ``parse_lines`` leaves out because they do not parse, with the reason. ``tagged.read_tagged`` gives
+    both from one scan, for every format."""
+    return tag_lines(lines, fmt, dataset).where(F.col("reason").isNotNull()).select("dataset", "path", "value", "reason")
 
 
 def text_lines(spark: SparkSession, glob: str) -> DataFrame:
