@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pathloom.catalog.base import CONFIG, dist_sql, query, real, rounded, scenes, split_tracks, sql, tracks, typed
 from pathloom.operators import kinds as K
 from pathloom.operators.pairs import neighbors, scene_steps
-from pathloom.operators.scenes import kept_frames, tracks_of_frames, with_public_test
+from pathloom.operators.scenes import kept_frames, path_windows, tracks_of_frames, with_public_test
 from pathloom.operators.selection import accept
 from pathloom.plans.recordings import convert, require_scenes, retype
-from pathloom.sinks.writers import write_ndjson
+from pathloom.sinks.writers import write_buckets, write_ndjson
 from pathloom.sources.tables import ndjson_parts, parse_ndjson_scenes
 from pathloom.storage import new_folder
 
@@ -63,10 +65,24 @@ def ty_main(spark, sf_dir):
     return K.type_scenes(scenes(spark, sf_dir), split_tracks(spark, sf_dir), CONFIG).select("dataset", "split", "scene", "tag")
 
 
+def in_buckets(spark, sf_dir):
+    """The split tracks as a table in buckets."""
+    table = f"tracks_{uuid.uuid4().hex}"
+    write_buckets(split_tracks(spark, sf_dir), table, new_folder(spark, "buckets"), 8)
+    return spark.table(table)
+
+
+@query("snk_buckets", sql("cand", "SELECT dataset, split, pedestrian, row_no, start, stop FROM cand"))
+def snk_buckets(spark, sf_dir):
+    """Windows of tracks that were written in buckets."""
+    rows = path_windows(in_buckets(spark, sf_dir), CONFIG.chunk_size, CONFIG.chunk_stride)
+    return rows.select("dataset", "split", "pedestrian", "row_no", F.col("path")[0]["frame"].alias("start"), F.element_at("path", -1)["frame"].alias("stop"))
+
+
 @query("pl_retype", sql("subs", "SELECT dataset, split, scene, tag, sub_tags FROM subs"))
 def pl_retype(spark, sf_dir):
-    """Scenes written as lines, read again, and typed from the tracks."""
-    folder, rows = new_folder(spark, "scenes"), split_tracks(spark, sf_dir)
+    """Scenes written as lines, read again, and typed from tracks in buckets."""
+    folder, rows = new_folder(spark, "scenes"), in_buckets(spark, sf_dir)
     write_ndjson(scenes(spark, sf_dir), rows.limit(0), folder)
     found = retype(parse_ndjson_scenes(ndjson_parts(spark, folder)).drop("tag", "sub_tags"), rows, CONFIG)
     return found.select("dataset", "split", "scene", "tag", F.array_join(F.col("sub_tags").cast("array<string>"), ",").alias("sub_tags"))
@@ -172,3 +188,10 @@ def ty_no_scenes(spark, sf_dir):
 def pl_convert(spark, sf_dir):
     """The whole conversion, from tracks."""
     return convert(tracks(spark, sf_dir), CONFIG).scenes.select("dataset", "split", "scene", "pedestrian", "start", F.col("end").alias("stop"), "tag")
+
+
+@query("pl_convert_counts", sql("draws", """SELECT dataset, split, tag, count(*) AS n_total, count(*) FILTER (WHERE u < chance) AS n_kept,
+    count(*) FILTER (WHERE u >= chance) AS n_rejected FROM (SELECT *, CASE WHEN tag = 1 THEN CAST('0.1' AS DOUBLE) ELSE 1 END AS chance FROM draws) GROUP BY dataset, split, tag"""))
+def pl_convert_counts(spark, sf_dir):
+    """Scenes in all, kept and rejected, as a conversion returns them when it is written."""
+    return convert(tracks(spark, sf_dir), CONFIG).write(new_folder(spark, "converted"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathloom.config import NO_HOT_ROWS
+from pathloom.storage import freeze
 
 PERSON = ["dataset", "split", "pedestrian"]
 
@@ -19,8 +20,8 @@ def copies(tracks: DataFrame, most: int) -> DataFrame | None:
     """The pedestrians (``dataset, split, pedestrian``) of groups of more than ``most`` equal
     tracks, with the first of the group as ``leader``; None if there is no such group.
 
-    Tracks are equal if their number of rows and two independent 64-bit hash sums of their
-    rows are. The sums combine on the map side, and only one row per pedestrian is moved.
+    Number of rows and two 64-bit hash sums, which combine on the map side, tell which tracks may be equal, and only one row
+    per pedestrian is moved for that. The members found are then compared with their leader row by row.
     """
     if most >= NO_HOT_ROWS:
         return None
@@ -32,7 +33,16 @@ def copies(tracks: DataFrame, most: int) -> DataFrame | None:
               .where(F.col("_size") > most).drop("_size"))
     if groups.isEmpty():
         return None
-    return prints.join(groups, same).select(*PERSON, "leader")
+    return _alike(tracks, freeze(prints.join(groups, same).select(*PERSON, "leader")))
+
+
+def _alike(tracks: DataFrame, members: DataFrame) -> DataFrame:
+    """The members whose rows are those of their leader. As both have equally many, none may be missing there."""
+    place = ["dataset", "split", "leader", "frame", "x", "y"]
+    rows = tracks.join(members, PERSON).groupBy(*place, "pedestrian").agg(F.count("*").alias("_n"))
+    own = rows.where(F.col("pedestrian") == F.col("leader")).select(*place, F.col("_n").alias("_own"))
+    equal = rows.join(own, place, "left").groupBy(*PERSON, "leader").agg(F.bool_and(F.coalesce(F.col("_n") == F.col("_own"), F.lit(False))).alias("_equal"))
+    return equal.where("_equal").drop("_equal")
 
 
 def without_followers(rows: DataFrame, members: DataFrame) -> DataFrame:

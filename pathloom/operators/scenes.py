@@ -100,20 +100,26 @@ def scene_rows(scenes: DataFrame, config: SceneConfig) -> DataFrame:
         .withColumn("sub_tags", F.lit(None).cast("array<int>")))
 
 
-def with_paths(scenes: DataFrame, tracks: DataFrame) -> DataFrame:
-    """Give stored scenes their ``path`` again: the primary's rows from start to end, in order
-    of frame and position. ``scenes`` has dataset, split, pedestrian, start and end, as written
-    and read again; a scene without rows is left out.
-
-    Scenes and tracks meet by pedestrian, so each is shuffled once; a row is repeated for the
-    scenes it lies in, as it was in the first cut.
+def with_paths(scenes: DataFrame, tracks: DataFrame, size: int = SceneConfig().chunk_size, hot_rows: int = HOT_ROWS,
+               segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Give stored scenes their ``path`` again: the primary's rows from the one at ``start`` on, ``size`` of them at most and none after ``end``,
+    in order of frame and position. ``scenes`` has dataset, split, pedestrian, start and end, as written and read again; a scene without
+    a row at its start is left out.
+
+    Starts are marked in the rows by an equi-join, and one window of consecutive rows gives the paths, so the work grows with the rows
+    and the scenes, however many scenes a pedestrian has. Over tracks in buckets (``write_buckets``), and inside
+    ``storage.co_partitioned``, the tracks are not shuffled.
     """
-    rows = tracks.select("dataset", "split", "pedestrian", "frame", "x", "y")
-    keys = ["dataset", "split", "pedestrian", "scene"]
-    found = (scenes.select(*keys, "start", "end").join(rows, ["dataset", "split", "pedestrian"])
-             .where(F.col("frame").between(F.col("start"), F.col("end")))
-             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("frame", "x", "y"))).alias("path")))
-    return scenes.drop("path").join(found, keys)
+    person = ["dataset", "split", "pedestrian"]
+    starts = scenes.select(*person, F.col("start").alias("frame")).distinct().withColumn("_starts", F.lit(True))
+    rows = tracks.select(*person, "frame", "x", "y").join(starts, [*person, "frame"], "left")
+    pieces = segments(rows, person, "frame", ["x", "y"], before=1, after=size - 1, sizes_from=tracks, hot_rows=hot_rows, segment_rows=segment_rows)
+    w = piece_window(person, "frame", ["x", "y"])
+    first = F.coalesce(F.lag("frame").over(w) != F.col("frame"), F.lit(True))
+    path = F.collect_list(F.struct("frame", "x", "y")).over(w.rowsBetween(0, size - 1))
+    found = (pieces.select(*person, F.col("frame").alias("start"), "own", "_starts", first.alias("_first"), path.alias("path"))
+             .where("own AND _starts AND _first").select(*person, "start", "path"))
+    return scenes.drop("path").join(found, [*person, "start"]).withColumn("path", F.filter("path", lambda p: p["frame"] <= F.col("end")))
 
 
 def with_public_test(scenes: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pathloom.config import SceneConfig
@@ -40,10 +42,11 @@ def drop_invalid(scenes: DataFrame, tracks: DataFrame, forecasts: DataFrame, con
     return scenes.join(good, ["dataset", "scene"], "left_semi")
 
 
-def renumber(scenes: DataFrame) -> DataFrame:
+def renumber(scenes: DataFrame, stored: bool = False) -> DataFrame:
     """Consecutive ids again, over the accepted scenes of all splits. The old ids have the
-    order already, so only they are put in order; the scenes follow by a join."""
-    scenes = freeze(scenes)
+    order already, so only they are put in order; the scenes follow by a join. They are read twice,
+    so they are stored, unless they are a ``stored`` table."""
+    scenes = scenes if stored else freeze(scenes)
     ids = number_in_order(scenes.select("dataset", "scene"), ["dataset"], ["scene"], "_new")
     return scenes.join(broadcast_if_small(ids), ["dataset", "scene"]).drop("scene").withColumnRenamed("_new", "scene")
 
@@ -57,6 +60,35 @@ def acceptance_stats(typed: DataFrame, kept: DataFrame) -> DataFrame:
         F.count("*").alias("n_total"), F.count("_kept").alias("n_kept"), F.count_if(F.col("_kept").isNull()).alias("n_rejected"))
 
 
+# Most keys that are counted while rows pass by; with more, counting takes a job of its own.
+MOST_KEYS, ROOM = 10_000, 100_000
+PART = ("dataset", "split", "tag")
+
+
+def passing(scenes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The scenes, counted per dataset, split and type by whatever job runs over them first: the result of an
+    ``approx_top_k``, which is exact for fewer keys than it has room for, and their number."""
+    seen, key = Observation(), F.to_json(F.struct(*PART), {"ignoreNullFields": "false"})
+    counts = F.expr(f"approx_top_k(_key, {MOST_KEYS}, {ROOM})").alias("counts")
+    return scenes.withColumn("_key", key).observe(seen, counts, F.count(F.lit(1)).alias("n")).drop("_key"), seen
+
+
+def seen_counts(seen: Observation) -> dict[str, int] | None:
+    """What ``passing`` has counted, by key; None if there were too many keys."""
+    got = seen.get
+    counts = {row["item"]: row["count"] for row in got.get("counts") or []}
+    return counts if sum(counts.values()) == got.get("n", 0) else None
+
+
+def seen_stats(spark: SparkSession, total: Observation, kept: Observation) -> DataFrame | None:
+    """``acceptance_stats`` from two observations, without another job; None if they had too many keys."""
+    all_, left = seen_counts(total), seen_counts(kept)
+    if all_ is None or left is None:
+        return None
+    rows = [(*(json.loads(k)[c] for c in PART), n, left.get(k, 0), n - left.get(k, 0)) for k, n in all_.items()]
+    return spark.createDataFrame(rows, "dataset string, split string, tag int, n_total long, n_kept long, n_rejected long")
+
+
 def tag_stats(scenes: DataFrame) -> DataFrame:
     """Scenes per dataset, split and type, and per interaction kind (NULL in the rows for
     the type as a whole)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,25 +11,29 @@ from pathloom.config import NO_HOT_ROWS, SceneConfig
 from pathloom.operators.frames import split_frames
 from pathloom.operators.kinds import path_kind, short_test_scenes, type_scenes
 from pathloom.operators.scenes import cut_scenes, kept_frames, scene_rows, tracks_of_frames, with_paths, with_public_test
-from pathloom.operators.selection import accept, drop_invalid, prefilter, renumber, tag_stats
+from pathloom.operators.selection import accept, acceptance_stats, drop_invalid, passing, prefilter, renumber, seen_stats, tag_stats
 from pathloom.sinks.writers import write_ndjson, write_tables
-from pathloom.storage import freeze
+from pathloom.storage import co_partitioned, freeze
 
 
 @dataclass(frozen=True)
 class SceneSet:
-    """Scenes and the track rows they show, over train, val, test_private and test."""
+    """Scenes and the track rows they show, over train, val, test_private and test. ``counts`` are the scenes in all, kept and
+    rejected per dataset, split and type, as the conversion has counted them on the way; None for a set that was put together otherwise."""
 
     scenes: DataFrame
     tracks: DataFrame
+    counts: DataFrame | None = None
 
-    def write(self, folder: str) -> None:
-        """Parquet in ``scenes`` and ``tracks``."""
+    def write(self, folder: str) -> DataFrame | None:
+        """Parquet in ``scenes`` and ``tracks``; returns the counts."""
         write_tables(self.scenes, f"{folder}/scenes")
         write_tables(self.tracks, f"{folder}/tracks")
+        return self.counts
 
-    def write_ndjson(self, folder: str) -> None:
+    def write_ndjson(self, folder: str) -> DataFrame | None:
         write_ndjson(self.scenes, self.tracks, folder)
+        return self.counts
 
 
 def prepare(tracks: DataFrame, config: SceneConfig, stored: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -60,13 +64,23 @@ def publish(scenes: DataFrame, split: DataFrame, config: SceneConfig) -> SceneSe
 def select(scenes: DataFrame, split: DataFrame, config: SceneConfig, forecasts: DataFrame | None = None) -> DataFrame:
     """Type the scenes and keep those the acceptance rates and the checks let through, with
     consecutive ids again. The draw comes before the costly check."""
+    return select_counted(scenes, split, config, forecasts)[0]
+
+
+def select_counted(scenes: DataFrame, split: DataFrame, config: SceneConfig, forecasts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``select``, and the scenes in all, kept and rejected per dataset, split and type. They are counted while the chosen scenes
+    are stored; only with very many datasets by a job of their own."""
     if not config.has_test:
         scenes = scenes.where(F.col("split") != "test")
-    typed = type_scenes(prefilter(scenes, split, config), split, config)
+    plain = type_scenes(prefilter(scenes, split, config), split, config)
+    typed, total = passing(plain)
     kept = accept(typed, config)
     if forecasts is not None:
         kept = drop_invalid(freeze(kept), split, forecasts, config)
-    return renumber(kept)
+    kept, left = passing(kept)
+    kept = freeze(kept)
+    counts = seen_stats(scenes.sparkSession, total, left)
+    return renumber(kept, stored=True), acceptance_stats(plain, kept) if counts is None else counts
 
 
 def missing_parts(scenes: DataFrame, split: DataFrame) -> DataFrame:
@@ -96,8 +110,8 @@ def convert(tracks: DataFrame, config: SceneConfig, forecasts: DataFrame | None
     tracks = freeze(tracks)
     config = sized(config, tracks.count())
     split, scenes = prepare(tracks, config, stored=True)
-    chosen = select(require_scenes(scenes, split if config.require_parts else None), split, config, forecasts)
-    return require_test_length(publish(chosen, split, config), config)
+    chosen, counts = select_counted(require_scenes(scenes, split if config.require_parts else None), split, config, forecasts)
+    return replace(require_test_length(publish(chosen, split, config), config), counts=counts)
 
 
 def convert_mixed(tracks: DataFrame, settings: dict[str, SceneConfig], default: SceneConfig | None = None) -> SceneSet:
@@ -112,16 +126,18 @@ def convert_mixed(tracks: DataFrame, settings: dict[str, SceneConfig], default:
         parts += [] if others.isEmpty() else [convert(others, default)]
     if not parts:
         raise ValueError("no dataset has settings")
-    scenes, rows = parts[0].scenes, parts[0].tracks
+    scenes, rows, counts = parts[0].scenes, parts[0].tracks, parts[0].counts
     for part in parts[1:]:
-        scenes, rows = scenes.unionByName(part.scenes), rows.unionByName(part.tracks)
-    return SceneSet(scenes, rows)
+        scenes, rows, counts = scenes.unionByName(part.scenes), rows.unionByName(part.tracks), counts.unionByName(part.counts)
+    return SceneSet(scenes, rows, counts)
 
 
 def retype(scenes: DataFrame, tracks: DataFrame, config: SceneConfig) -> DataFrame:
     """Type stored scenes: those of a written set, or any with dataset, split, scene,
-    pedestrian, start and end, over the split tracks they were cut from."""
-    return type_scenes(freeze(with_paths(scenes, tracks)), tracks, config)
+    pedestrian, start and end, over the split tracks they were cut from. With tracks in buckets the paths take no shuffle of them."""
+    with co_partitioned(tracks.sparkSession):
+        whole = freeze(with_paths(scenes, tracks, config.chunk_size, config.hot_rows, config.segment_rows))
+    return type_scenes(whole, tracks, config)
 
 
 def stats(result: SceneSet) -> DataFrame:

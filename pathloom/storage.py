@@ -40,6 +40,22 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+# Without this setting a join takes a partitioning by some of its keys as it is, such as that of buckets.
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Joins inside use a partitioning by fewer keys than theirs where there is one. Only for queries whose result is written; results
+    do not depend on it."""
+    before = spark.conf.get(ALL_KEYS, None)
+    spark.conf.set(ALL_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(ALL_KEYS) if before is None else spark.conf.set(ALL_KEYS, before)
+
+
 # Folders to delete, one list for each open ``scratch`` block.
 _scratch: list[list[str]] = []
 

@@ -1,6 +1,7 @@
 """What must not be lost without a word, and rules that hold for every size of table."""
 
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -12,14 +13,15 @@ from pathloom.operators import kinds as K
 from pathloom.operators import scenes as S
 from pathloom.operators.frames import split_frames
 from pathloom.operators.resample import resample
+from pathloom.operators import selection
 from pathloom.operators.selection import accept, acceptance_stats, drop_invalid, renumber
 from pathloom.operators.synth import trim_at_goal
 from pathloom.plans.recordings import convert, convert_mixed, missing_parts, require_scenes, retype
-from pathloom.sinks.writers import write_ndjson, write_tables
+from pathloom.sinks.writers import write_buckets, write_ndjson, write_tables
 from pathloom.sources import files
 from pathloom.sources.lines import parse_lines
 from pathloom.sources.tables import ndjson_parts, parse_ndjson_scenes
-from pathloom.storage import freeze, scratch, work_folder
+from pathloom.storage import co_partitioned, freeze, scratch, work_folder
 
 CONFIG = SceneConfig()
 
@@ -74,6 +76,71 @@ def test_stored_scenes_are_typed_alike(spark, copied, tmp_path):
     assert rows(S.with_paths(stored, split).select("dataset", "scene", F.to_json("path").alias("p"))) == rows(scenes.select("dataset", "scene", F.to_json("path").alias("p")))
 
 
+def above(text, mark):
+    """The operators of a plan that the first line with ``mark`` feeds, from the nearest on."""
+    lines = text.split("\n")
+    at = next(i for i, line in enumerate(lines) if mark in line)
+    indent = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    found, depth = [], indent(lines[at])
+    for line in lines[at::-1]:
+        if indent(line) < depth:
+            depth = indent(line)
+            found.append(line.lstrip(" :+-|*"))
+    return found
+
+
+def test_paths_of_stored_scenes_shuffle_no_buckets(spark, copied, tmp_path):
+    """Neither a shuffle of tracks in buckets, nor a range of frames after an equi-join."""
+    split, scenes = copied
+    write_buckets(split, "tracks_in_buckets", str(tmp_path / "b"), 8)
+    stored = scenes.drop("path", "tag", "sub_tags")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with co_partitioned(spark):
+            found = S.with_paths(stored, spark.table("tracks_in_buckets"))
+            text = found._jdf.queryExecution().executedPlan().toString()
+            got = rows(found.select("dataset", "scene", F.to_json("path").alias("p")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == rows(scenes.select("dataset", "scene", F.to_json("path").alias("p"))) and got
+    over = above(text, "Bucketed: true")
+    assert any(o.startswith("Window") for o in over) and not any("Exchange" in o for o in over)
+    assert not re.search(r"Join \[[^\]]*\], \[[^\]]*\], \w+, \(", text)
+    spark.sql("DROP TABLE tracks_in_buckets")
+
+
+def test_paths_of_busy_pedestrians_and_odd_scenes(spark):
+    """Hot pedestrians in pieces, several rows in a frame, scenes without their start and shorter ones."""
+    data = [("d", "train", 1, 10 * (k - (k == 7)), float(k), 0.0) for k in range(60)] + [("d", "train", 2, 10 * k, 0.0, float(k)) for k in range(5)]
+    tracks = spark.createDataFrame(data, "dataset string, split string, pedestrian long, frame long, x double, y double")
+    scenes = spark.createDataFrame([("d", "train", 1, 0, 0, 40), ("d", "train", 1, 1, 300, 340), ("d", "train", 1, 2, 560, 590), ("d", "train", 1, 3, 5, 40), ("d", "train", 2, 4, 10, 90),
+                                    ("d", "train", 1, 5, 60, 90)], "dataset string, split string, pedestrian long, scene long, start long, end long")
+    for sizes in (dict(), dict(hot_rows=10, segment_rows=7)):
+        found = {r.scene: [(p.frame, p.x) for p in r.path] for r in S.with_paths(scenes, tracks, 5, **sizes).collect()}
+        assert found == {0: [(10 * k, float(k)) for k in range(5)], 1: [(10 * k, float(k)) for k in range(30, 35)], 2: [(10 * k, float(k)) for k in range(56, 60)],
+                         4: [(10 * k, 0.0) for k in range(1, 5)], 5: [(60, 6.0), (60, 7.0), (80, 8.0), (90, 9.0)]}
+
+
+def test_conversions_count_on_the_way(crowd, tmp_path):
+    result = convert(crowd, CONFIG.but(acceptance=(0.5, 0.5, 0.5, 0.5)))
+    counts = result.write(str(tmp_path / "out")).collect()
+    kept = {(r.dataset, r.split, r.tag): r.n for r in result.scenes.where("split <> 'test'").groupBy("dataset", F.regexp_replace("split", "test_private", "test").alias("split"), "tag").agg(
+        F.count("*").alias("n")).collect()}
+    assert {(r.dataset, r.split, r.tag): r.n_kept for r in counts if r.n_kept} == kept and sum(r.n_rejected for r in counts) > 0
+    assert all(r.n_total == r.n_kept + r.n_rejected for r in counts)
+
+
+def test_counts_of_too_many_keys_are_not_taken(spark, monkeypatch):
+    monkeypatch.setattr(selection, "MOST_KEYS", 3)
+    monkeypatch.setattr(selection, "ROOM", 8)
+    for n, exact in ((3, True), (60, False)):
+        scenes, seen = selection.passing(spark.range(n).select(F.col("id").cast("string").alias("dataset"), F.lit("train").alias("split"), F.lit(1).alias("tag")))
+        freeze(scenes)
+        found = selection.seen_counts(seen)
+        assert (found is not None) == exact and (not exact or sum(found.values()) == n)
+
+
 def test_settings_per_recording(crowd):
     stride, plain = CONFIG.but(chunk_stride=4, fps=5.0), CONFIG
     both = freeze(crowd.withColumn("dataset", F.explode(F.array(F.lit("a"), F.lit("b")))))
