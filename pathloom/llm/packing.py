@@ -50,7 +50,7 @@ _SPACES = re.compile(r" \s| \Z")
 
 
 class BytePairs:
-    """Ids of a byte-level vocabulary file; its special tokens' strings are ordinary text.
+    """Ids of a byte-level vocabulary file. A text is cut at the strings of its added tokens, which are one id each, first.
 
     Words repeat, so a text without doubled white space is cut before its spaces, which the
     vocabulary's own pattern does too, and words are looked up in a bounded cache.
@@ -58,10 +58,14 @@ class BytePairs:
 
     def __init__(self, vocabulary: str):
         stored = json.load(open(vocabulary, encoding="utf-8"))
-        special = {t["content"] for t in stored.get("added_tokens", [])}
+        added = stored.get("added_tokens", [])
+        if any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError("a vocabulary with plain added tokens is needed")
+        self.added = {t["content"]: np.array([t["id"]], np.uint32) for t in added}
+        self.cut = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         others = [b for b in range(256) if b not in PLAIN_BYTES]
         byte = {chr(b): b for b in PLAIN_BYTES} | {chr(256 + n): b for n, b in enumerate(others)}
-        ranks = {bytes(byte[c] for c in token): i for token, i in stored["model"]["vocab"].items() if token not in special}
+        ranks = {bytes(byte[c] for c in token): i for token, i in stored["model"]["vocab"].items() if token not in self.added}
         self.library = tiktoken.Encoding("stored", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.ends = np.zeros(max(ranks.values()) + 1, bool)
         for token, i in ranks.items():
@@ -69,6 +73,13 @@ class BytePairs:
         self.spaced = _Spaced(self.library)
 
     def encode(self, text: str) -> np.ndarray:
+        if not self.cut.search(text):
+            return self.ordinary(text)
+        parts = [p for p in self.cut.split(text) if p]
+        return np.concatenate([self.added[p] if p in self.added else self.ordinary(p) for p in parts])
+
+    def ordinary(self, text: str) -> np.ndarray:
+        """The ids of a text without added tokens."""
         if _SPACES.search(text):
             return np.array(self.library.encode_ordinary(text), np.uint32)
         words, spaced = text.split(" "), self.spaced

@@ -14,9 +14,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(VOCABULARY)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(VOCABULARY)
 
 
 def ids_of(library, text):
@@ -57,7 +55,7 @@ def check(rows, docs, library, size=SIZE):
 
 def test_ids_as_the_library(library):
     own, rng = BytePairs(VOCABULARY), random.Random(3)
-    texts = ["", " ", "  ", "a  b", "a \nb", "a\n b", "a\n\n b c", "x ", "<|endoftext|> x<|endoftext|>", "don't 's it’s", " a  b", "a\x85 b", "a \x1c b", "漢字 é 🎈", "12 34 5678", "\ta\t b"]
+    texts = ["", " ", "  ", "a  b", "a \nb", "a\n b", "a\n\n b c", "x ", "<|endoftext|> x<|endoftext|>", "<|endoftext|>", "a <|endoftext|><|endoftext|>  b  <|endoftext|>\n", "<|EndOfText|> <|endoftext|", "don't 's it’s", " a  b", "a\x85 b", "a \x1c b", "漢字 é 🎈", "12 34 5678", "\ta\t b"]
     alphabet = ["a", "the", " ", " ", "  ", "\n", "'s", "1", ".", "é", " ", "漢", "<|", "\t", "Z", "\x1c"]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
     for text in texts:

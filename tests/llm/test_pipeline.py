@@ -52,7 +52,6 @@ def test_stages_against_plain_ones(spark, small):
         assert not plain_base(want[d]) or "[SECRET]" in text
 
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     pieces = stage("packing")(spark, clean, small).collect()
     got = {}
     for r in sorted(pieces, key=lambda r: (r.doc_id, r.start)):
