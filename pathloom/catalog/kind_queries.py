@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from pathloom.catalog.base import CONFIG, dist_sql, query, real, rounded, scenes, split_tracks, sql, tracks, typed
+from pathloom.catalog.source_queries import in_files, named
 from pathloom.operators import kinds as K
 from pathloom.operators.pairs import neighbors, scene_steps
 from pathloom.operators.scenes import kept_frames, path_windows, tracks_of_frames, with_public_test
@@ -14,6 +15,7 @@ from pathloom.operators.selection import accept
 from pathloom.plans.recordings import convert, require_scenes, retype
 from pathloom.sinks.writers import write_buckets, write_ndjson
 from pathloom.sources.tables import ndjson_parts, parse_ndjson_scenes
+from pathloom.sources.tagged import SOURCES, tag
 from pathloom.storage import new_folder
 
 # Nobody in the derived walk comes nearer than the usual 0.1 m; this finds some.
@@ -195,3 +197,25 @@ def pl_convert(spark, sf_dir):
 def pl_convert_counts(spark, sf_dir):
     """Scenes in all, kept and rejected, as a conversion returns them when it is written."""
     return convert(tracks(spark, sf_dir), CONFIG).write(new_folder(spark, "converted"))
+
+
+@query("pl_files", sql("renumbered", """SELECT dataset, n AS split, scene, pedestrian, start, stop, CASE WHEN n = 'test' THEN 0 ELSE tag END AS tag, CASE WHEN n <> 'test' THEN sub_tags END AS sub_tags
+    FROM renumbered, (VALUES ('train'), ('val'), ('test'), ('test_private')) AS names(n)
+    WHERE (n = split AND split <> 'test') OR (split = 'test' AND n LIKE 'test%')"""))
+def pl_files(spark, sf_dir):
+    """Files to files: recordings as text, some lines of which are broken, converted and written as JSON lines, which are read again."""
+    text = F.when(F.col("frame") % 970 == 0, F.array(F.lit("broken line"))).otherwise(F.array())
+    line = F.concat_ws(" ", *[c.cast("string") for c in (F.col("frame") + 1, F.col("pedestrian"), F.col("x"), F.lit(0), F.col("y"))])
+    rows = tracks(spark, sf_dir).select(F.col("dataset").alias("file"), "pedestrian", "frame", F.explode(F.concat(F.array(line), text)).alias("value"))
+    read = read_source(spark, in_files(spark, rows, "pedestrian", "frame"), "biwi")
+    folder = new_folder(spark, "converted")
+    convert(read.tracks, CONFIG).write_ndjson(folder)
+    if read.rejects.where("value <> 'broken line'").count():
+        raise ValueError("a good line was rejected")
+    found = parse_ndjson_scenes(ndjson_parts(spark, folder))
+    return found.select("dataset", "split", "scene", "pedestrian", "start", F.col("end").alias("stop"), "tag", F.array_join(F.col("sub_tags").cast("array<string>"), ",").alias("sub_tags"))
+
+
+def read_source(spark, folder, fmt):
+    """Tracks and rejects of files that ``in_files`` has written, under the names it was given."""
+    return tag(named(SOURCES[fmt].read(spark, f"{folder}/*"), ".txt"), fmt)

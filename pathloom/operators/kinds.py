@@ -165,6 +165,7 @@ def group_pairs(scenes: DataFrame, tracks: DataFrame, config: SceneConfig, found
     found = contacts(scenes, tracks, config) if found is None else found
     near = found.pairs.where("near").select(*MOVE, "other")
     own = ["dataset", "split", "pedestrian"]
+    scenes = scenes.join(near.select(*own).distinct(), own, "left_semi")  # only they can be in a group
     moves = open_moves(scenes, config).withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy("frame", "x", "y", "pframe")).cast("bigint"))
     sums = walks(moves, tracks, near, config)
     starts = (scene_steps(scenes, config.obs_len, config.obs_len + 1).select(*MOVE, "scene", "x", "y").join(moves.select(*MOVE, "x", "y", "place"), [*MOVE, "x", "y"])
