@@ -30,14 +30,17 @@ NEARLY_ALL = 0.85  # of a page's running text, for its best container
 NAMED_SHARE = 0.1  # of a page's running text, for a winner that is named as an article
 
 # Elements whose content is no text of the page, that hold containers, and that end a block.
-SKIPPED = frozenset("script style noscript template svg math iframe object video audio canvas select button textarea head title datalist map".split())
+SKIPPED = frozenset("script style noscript template svg iframe object video audio canvas select button textarea head title datalist map".split())
 CONTAINERS = frozenset("body article main section div aside nav header footer form fieldset dialog menu details td th figure ul ol dl table".split())
 SCORED = frozenset("body article main section div td".split())
 BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr caption blockquote pre figcaption hr address summary legend thead tbody tfoot center html".split()) | CONTAINERS
 
 # Elements, roles and words of classes or ids that mark what is not the article.
-ASIDE_TAGS = frozenset("nav aside footer form menu dialog fieldset".split())
-ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
+ASIDE_TAGS = frozenset("nav aside footer menu".split())
+ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert menu menubar".split())
+# These are none either, unless the page is written inside of one.
+WRAPPER_TAGS, WRAPPER_ROLES = frozenset("form dialog fieldset".split()), frozenset("form dialog".split())
+WRAPPED_TEXT = 200  # characters of running text that make a form without an article more than a form
 ASIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored banner cookie cookies consent gdpr notice notices alert
     sidebar aside menu menus nav navbar navigation breadcrumb breadcrumbs footer footnav copyright comment comments commentlist disqus respond reply replies
     share sharing social related recommended promo promotion popup modal overlay newsletter subscribe subscription signup login paywall search toolbar
@@ -47,7 +50,7 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond reply rep
 # Words that leave a class what the aside word beside them says, and words of a layout's state.
 NEUTRAL_WORDS = frozenset("left right top bottom box block bar area list widget site".split())
 STATE_WORDS = frozenset("has no not with without is open closed enabled disabled ready active loaded on off".split())
-WEAK, STRONG, COMMENT = 1, 2, 3  # how much class words say that a container is an aside
+WEAK, STRONG, COMMENT, WRAPPER = 1, 2, 3, 4  # what class words, or the element, say about a container as an aside
 GOOD_WORDS = frozenset("article content post entry story main text body".split())
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z) | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)> | <[!?][^>]*>""", re.S | re.X)
@@ -68,7 +71,8 @@ def _marks(names: str) -> tuple[int, int, frozenset[str]]:
             if words & COMMENT_WORDS and not words & STATE_WORDS:
                 mark = COMMENT
             elif words & signs:
-                mark = STRONG if all(w in signs or w in NEUTRAL_WORDS or w.isdigit() for w in words) else WEAK
+                others = {w for w in words - signs - NEUTRAL_WORDS if not w.isdigit()}
+                mark = WEAK if others & STATE_WORDS or len(others) >= len(words & signs) > 0 else STRONG
             else:
                 mark = 0
             marks[inside] = max(marks[inside], mark)
@@ -82,17 +86,19 @@ class Node:
     words say, which counts only when the text of the whole page is known.
     """
 
-    __slots__ = ("tag", "parent", "path", "dropped", "mark", "aside", "inside", "weight", "text", "mains", "head")
+    __slots__ = ("tag", "parent", "path", "dropped", "mark", "aside", "inside", "weight", "text", "chars", "mains", "head")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(attributes)} if attributes else {}
         outside, within, words = _marks(f"{found.get('class', '')} {found.get('id', '')}") if found else (0, 0, frozenset())
-        self.tag, self.parent, self.text, self.mains, self.head, self.aside = tag, parent, 0, 0, False, None
+        self.tag, self.parent, self.text, self.chars, self.mains, self.head, self.aside = tag, parent, 0, 0, 0, False, None
         self.inside = tag in ("article", "main") or (parent is not None and parent.inside)
         self.dropped = parent is not None and parent.dropped
         self.mark = 0
         if tag not in ("body", "article", "main"):
             self.mark = within if self.inside else outside
+            if tag in WRAPPER_TAGS or found.get("role", "").lower() in WRAPPER_ROLES:
+                self.mark = WRAPPER
             self.dropped = bool(self.dropped or tag in ASIDE_TAGS or (tag == "header" and not self.inside) or found.get("role", "").lower() in ASIDE_ROLES
                                 or "hidden" in found or found.get("aria-hidden", "").lower() == "true")
         elif tag != "body" and not self.dropped and within != COMMENT:
@@ -110,8 +116,8 @@ def _running(text: str, links: int) -> int:
 
 
 def _without_asides(blocks: list[tuple[str, Node, int]], mains: int) -> list[tuple[str, Node, int]]:
-    """The blocks outside containers whose class words mark an aside. Words such as those of
-    ``has-sidebar`` do not where all of the article, or most of the page's text, is inside."""
+    """The blocks outside containers that class words, or elements such as forms, mark as asides. They do not where all of the article, or
+    most of the page's text, is inside; within an article, a word beside others (``related-work``) does only where links prevail."""
     def comments(node: Node) -> bool:
         while node is not None:
             if node.mark == COMMENT and not 0 < node.mains == mains:
@@ -129,13 +135,18 @@ def _without_asides(blocks: list[tuple[str, Node, int]], mains: int) -> list[tup
             total += value
             while at is not None:
                 at.text += value
+                at.chars += len(text)
                 at = at.parent
 
     def marked(node: Node) -> bool:
+        if node.mark == WRAPPER:
+            return not 0 < node.mains == mains and (node.text < WRAPPED_TEXT or mains > 0 or 10 * node.text <= 9 * total)
         if node.mark == COMMENT:
             return not 0 < node.mains == mains
         if node.mark == STRONG:
             return node.mains < mains or 10 * node.text <= 9 * total
+        if node.mark == WEAK and node.inside:
+            return not node.mains and 2 * node.text < node.chars
         return node.mark == WEAK and not node.mains and 2 * node.text <= total
 
     kept = []
@@ -176,7 +187,9 @@ def parse(html: str) -> list[tuple[str, Node, int]]:
         if not token[2]:
             continue
         tag, closing = token[2].lower(), bool(token[1])
-        if tag in SKIPPED:
+        if tag == "button" and any(not h.isspace() for h in held):
+            held.append(" ")  # a word of a sentence
+        elif tag in SKIPPED:
             if not closing and not token[3].endswith("/"):
                 end = _ENDS[tag].search(html, at)
                 at = end.end() if end else (len(html) if tag in ("script", "style", "textarea", "title") else at)

@@ -80,3 +80,28 @@ def test_best_container_keeps_all_parts():
     parts = f"<div class=intro><p>{LONG * 3}</p></div><div class=details><p>{LONG * 2}</p></div>"
     assert extract(f"<body><nav>x</nav><div class=page>{parts}</div></body>", None) == "\n".join([(LONG * 3).strip(), (LONG * 2).strip()])
     assert extract(f"<body><div class=post><h1>Head</h1><div class=entry-content><p>{LONG}</p></div></div></body>", None) == "Head\n" + LONG.strip()
+
+
+def test_pages_written_inside_a_form_or_dialog():
+    article = f"<h1>Head</h1><p>{LONG}</p><form><label>Mail</label><p>{LONG}</p></form>"
+    want = "Head\n" + LONG.strip()
+    for wrapper in ("form id='form1'", "dialog open", "fieldset", "div role='form'"):
+        tag = wrapper.split()[0]
+        assert extract(f"<body><{wrapper}><div><article>{article}</article></div></{tag}></body>", None) == want, wrapper
+        assert extract(f"<body><{wrapper}><div class='page'><h1>Head</h1><p>{LONG * 9}</p></div></{tag}></body>", None) == "Head\n" + (LONG * 9).strip(), wrapper
+    assert extract("<body><nav>Home</nav><form><label>Name</label><label>Password</label></form></body>", None) == ""
+
+
+def test_content_sections_with_unlucky_words():
+    for name in ("id='related-work'", "class='social-history'", "class='share-prices'", "class='chapter-navigation-at-sea'", "class='comment-on-methods with-figures'"):
+        page = f"<body><article><h1>Head</h1><p>{LONG * 6}</p><section {name}><p>{LONG}</p></section></article></body>"
+        assert extract(page, None) == "\n".join(["Head", (LONG * 6).strip(), LONG.strip()]), name
+    links = " ".join(f"<a href='{i}'>Another story of the day {i}</a>" for i in range(9))
+    for name in ("class='related-stories'", "class='newsletter-signup-form'", "class='share-box'"):
+        page = f"<body><article><h1>Head</h1><p>{LONG * 6}</p><section {name}>{links}</section></article></body>"
+        assert extract(page, None) == "Head\n" + (LONG * 6).strip(), name
+
+
+def test_formulas_and_words_on_buttons_stay():
+    page = f"<body><article><p>{LONG}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, press <button>Save</button> twice.</p><button>Share</button></article></body>"
+    assert extract(page, None) == LONG.strip() + "\nLet x=1, press Save twice."
