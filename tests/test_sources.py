@@ -10,6 +10,7 @@ from pathloom.sinks import writers as W
 from pathloom.sources import files as X
 from pathloom.sources import lines as L
 from pathloom.sources import tables as T
+from pathloom.sources.tagged import read_tagged
 from pathloom.storage import freeze
 from conftest import rows
 
@@ -212,3 +213,44 @@ def test_freeze_keeps_rows_and_schema(crowd):
 def test_settings_tell_a_rounding_residue_from_a_test_part():
     assert not SceneConfig(train_fraction=0.8, val_fraction=0.2).has_test
     assert SceneConfig().has_test
+
+
+# Of the formats beyond one position per line: a file, its name, what is read and why what is rejected.
+TAGGED = {
+    "crowds": ("zara.vsp", "1 - Num of control points\n0 0 5 1\n1 x 7 1\n10 20 25 1\n3 - Num of control points\n1 1 oops 1\n4 - Num of control points\n0 0 5 1\n2 2 25 1\n",
+               [(10, 0), (20, 0), (10, 1), (20, 1)], ["not a number: f", "not a number: y"]),
+    "mot_xml": ("s2.xml", XML.replace('number="1"', 'number="one"').replace('id="4"', 'id="four"'), [(0, 3), (2, 5)], ["not a frame element", "not a number: pedestrian"]),
+    "edinburgh": ("a.txt", "TRACK.R1=[[10 20 3];[11 oops 6];[12 22]];\nTRACK.Rx=[[1 1 9]]\n", [(3, 1)], ["not a number: frame", "not a number: pedestrian", "not a number: y"]),
+    "syi": ("7.txt", "1\n2\n10\n3\nx\n20\n\n5\n6\n30\n7\n", [(10, 7), (20, 7), (30, 7)], ["not a number: y"]),
+    "wildtrack": ("00000005.json", '[{"personID": 1, "positionID": 480}, {"personID": 2}]', [(5, 1)], ["not a number: x, y"]),
+    "car": ("12.csv", ",".join(["ID", "Front1x", "Front1y", "Front2x", "Front2y", "Back1x", "Back1y", "Back2x", "Back2y", "Type", "Occlusion"])
+            + "\n4,1,1,0,0,0,0,0,0,2,0\nfive,1,1,0,0,0,0,0,0,2,0\n6,1\n", [(12, 4)], ["not a number: Type, y", "not a vehicle line"]),
+    "ndjson": ("a.ndjson", '{"track": {"f": 1, "p": 2, "x": 1.0, "y": 2.0}}\n{"scene": {"id": 1}}\n{"track": {"f": 1, "p": 2}}\noops\n\n', [(1, 2)], ["not a JSON line", "not a number: x, y"]),
+}
+
+
+@pytest.mark.parametrize("fmt", sorted(TAGGED))
+def test_tracks_and_rejects_of_one_scan(spark, tmp_path, fmt):
+    name, text, want, reasons = TAGGED[fmt]
+    path = put(tmp_path / "in", name, text)
+    found = read_tagged(spark, path, fmt)
+    assert sorted((r.frame, r.pedestrian) for r in found.tracks.collect()) == sorted(want)
+    assert sorted(r.reason for r in found.rejects.collect()) == sorted(reasons)
+    for side in (found.tracks, found.rejects):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert not any(f"FileScan {kind}" in plan for kind in ("text", "csv", "json", "xml")), plan
+
+
+@pytest.mark.parametrize("fmt", sorted(LINES))
+def test_lines_and_rejects_of_one_scan(spark, tmp_path, fmt):
+    text, want, bad = LINES[fmt]
+    found = read_tagged(spark, put(tmp_path, "street.txt", text), fmt)
+    assert sorted(tracks(found.tracks)) == sorted(want) and found.rejects.count() == bad
+
+
+def test_files_without_a_list_are_rejected_whole(spark, tmp_path):
+    for name, text in (("1.json", "not a list"), ("2.json", "[]"), ("3.json", '[{"personID": 1, "positionID": 1}]')):
+        put(tmp_path / "in", name, text)
+    found = read_tagged(spark, str(tmp_path / "in" / "*.json"), "wildtrack")
+    assert [(r.frame, r.pedestrian) for r in found.tracks.collect()] == [(3, 1)]
+    assert [r.value for r in found.rejects.collect()] == ["not a list"]
