@@ -17,7 +17,7 @@ task names the buckets of its own texts alike. Two shuffles tell which buckets a
 
 Hot strings: each task first works off the runs (windows) that it sees itself and sends one for
 each bucket, so a passage in a third of all documents is one small row per task. Shuffles carry
-packed rows of 28 to 37 bytes instead of strings. Texts are joined by document, never grouped
+packed rows of 32 to 41 bytes instead of strings. Texts are joined by document, never grouped
 by content. Windows are worked off in slices of their identifiers, one on disk at a time.
 """
 
@@ -45,9 +45,9 @@ LAST = (1 << 63) - 1  # stands for a null id: after all others
 _POSITION = np.uint64((1 << 24) - 1)
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
-RUN = np.dtype([("h", "<u8"), ("r", "<u8"), ("d", "<i8"), ("t", "<i4"), ("a", "<i4"), ("n", "<i4"), ("many", "u1")])
-WINDOW = np.dtype([("h", "<u8"), ("r", "<u4"), ("d", "<i8"), ("t", "<i4"), ("a", "<i4")])
-RANGE = np.dtype([("d", "<i8"), ("t", "<i4"), ("a", "<i4"), ("b", "<i4")])
+RUN = np.dtype([("h", "<u8"), ("r", "<u8"), ("d", "<i8"), ("t", "<i8"), ("a", "<i4"), ("n", "<i4"), ("many", "u1")])
+WINDOW = np.dtype([("h", "<u8"), ("r", "<u4"), ("d", "<i8"), ("t", "<i8"), ("a", "<i4")])
+RANGE = np.dtype([("d", "<i8"), ("t", "<i8"), ("a", "<i4"), ("b", "<i4")])
 
 # Packed rows: of one kind and bucket. Runs and windows are on their way, ranges are decided.
 PACKED = "kind int, bucket int, rows binary"
@@ -196,7 +196,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows by bucket, content and place, without repeats of one place; where a new bucket and
     where a new content begins."""
-    rows = rows[np.lexsort((rows["a"], rows["t"], rows["d"], rows["r"], rows["h"]))]
+    rows = rows[np.argsort(rows["h"])]
+    again = rows["h"][1:] == rows["h"][:-1]
+    several = np.flatnonzero(np.concatenate([again, [False]]) | np.concatenate([[False], again]))
+    shared = rows[several]  # few; only they need the full order
+    rows[several] = shared[np.lexsort((shared["a"], shared["t"], shared["d"], shared["r"], shared["h"]))]
     bucket = np.concatenate([[True], rows["h"][1:] != rows["h"][:-1]])
     content = bucket | np.concatenate([[True], rows["r"][1:] != rows["r"][:-1]])
     fresh = content.copy()
@@ -324,7 +328,7 @@ def _window_map(length: int, slices: int, current: int, bits: int):
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, slices: int = WINDOW_SLICES) -> DataFrame:
     """``(d, t, starts, ends)``: per document the byte ranges covered by a string of ``length``
     bytes that also starts earlier. ``docs`` has the order ``d`` (long, not null), the tie
-    ``t`` (int) and the ``text`` as binary; rows that agree in d and t are one document."""
+    ``t`` (long) and the ``text`` as binary; rows that agree in d and t are one document."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // 30 * RUN.itemsize // TASK_BYTES)
@@ -334,7 +338,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, slices: int = WINDOW_
         return rows.repartition(tasks, "bucket").mapInArrow(_meet(dtype, length, bits), PACKED)
 
     def gathered(ranges: DataFrame) -> DataFrame:
-        return ranges.repartition(tasks, "bucket").mapInArrow(_gather, "d long, t int, starts array<int>, ends array<int>")
+        return ranges.repartition(tasks, "bucket").mapInArrow(_gather, "d long, t long, starts array<int>, ends array<int>")
 
     first = freeze(met(docs.where(F.octet_length("text") >= length).mapInArrow(_sieve_map(length, bits), PACKED), RUN))
     opened = freeze(docs.join(gathered(first.where(F.col("kind") == OPEN)), ["d", "t"]))
@@ -348,7 +352,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, slices: int = WINDOW_
 
 def _keyed(docs: DataFrame, keep: dict, doc_id: str, text: str) -> DataFrame:
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("d"), F.hash(whole).alias("t"), whole.cast("binary").alias("text"),
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("d"), F.xxhash64(whole).alias("t"), whole.cast("binary").alias("text"),
                        *[c.alias(n) for n, c in keep.items()])
 
 
