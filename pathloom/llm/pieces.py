@@ -7,13 +7,14 @@ piece before, tries shorter ones if not, and steps back when none is left; a bit
 positions from which no encoding goes on, so none is tried twice.
 
 No piece has a space after another character, so a text falls apart in front of every run of
-spaces. Parts are encoded on their own and kept in a bounded cache; words repeat, so most parts
-are looked up.
+spaces. A part falls apart once more between two characters that follow each other in no piece,
+such as a word and a line feed. What is left is encoded on its own and kept in a bounded cache;
+words repeat, so most of them are looked up.
 """
 
 from __future__ import annotations
 
-import heapq
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 # Fixed value: the mark that stands for a space in pieces.
 SPACE = "▁"
 
-CACHED_PARTS = 400_000
+CACHED_PARTS = 800_000
+CACHED_WORDS = 500_000
 CACHED_CHARS = 64  # longer parts are not kept
 CACHED_PAIRS = 1_000_000
 
@@ -55,65 +57,58 @@ class Pieces:
         for name in self.ids:
             self.automaton.add_word(name, len(name))
         self.automaton.make_automaton()
+        # per piece the longest shorter one that it starts with, or its first character
+        self.shorter = {n: next((n[:k] for k in range(len(n) - 1, 1, -1) if n[:k] in self.ids), n[0]) for n in self.ids if len(n) > 1}
+        self.neighbours = {a + b for n in self.ids for a, b in zip(n, n[1:])}
         self.compatible = lru_cache(CACHED_PAIRS)(self._compatible)
         self.encoded = _Encoded(self)
 
     def merge(self, text: str) -> list[str]:
-        """Plain merging: again and again the leftmost of the best-scored adjacent pairs."""
-        parts: list[str | None] = list(text)
-        before, after = list(range(-1, len(parts) - 1)), [*range(1, len(parts)), -1]
-        heap: list[tuple[float, int, str]] = []
-
-        def offer(a: int, b: int) -> None:
-            if a >= 0 and b >= 0 and (score := self.scores.get(parts[a] + parts[b])) is not None:
-                heapq.heappush(heap, (-score, a, parts[a] + parts[b]))
-
-        for i in range(len(parts) - 1):
-            offer(i, i + 1)
-        while heap:
-            _, a, joined = heapq.heappop(heap)
-            b = after[a]
-            if parts[a] is None or b < 0 or parts[a] + parts[b] != joined:
-                continue
-            parts[a], parts[b], after[a] = joined, None, after[b]
-            if after[b] >= 0:
-                before[after[b]] = a
-            offer(before[a], a)
-            offer(a, after[a])
-        return [p for p in parts if p is not None]
+        """Plain merging of a short text: again and again the leftmost of the best-scored adjacent pairs."""
+        parts, score, none = list(text), self.scores.get, -math.inf
+        pairs = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) > none:
+            i = pairs.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], none)
+        return parts
 
     def _compatible(self, left: str, right: str) -> bool:
-        return self.merge(left + right) == ([left, right] if left else [right])
+        if not left:
+            return self.merge(right) == [right]
+        return left + right not in self.scores and self.merge(left + right) == [left, right]
 
     def split(self, text: str) -> list[str]:
-        """The pieces of a text; characters without a piece stay single. By backtracking."""
+        """The pieces of a text; characters without a piece stay single. By backtracking: the longest piece of a position
+        first, then its ever shorter prefixes that are pieces."""
         size = len(text)
-        fits: list[list[int]] = [[] for _ in range(size)]
+        longest = [1] * size  # a character of its own always fits
         for end, length in self.automaton.iter(text):
-            fits[end - length + 1].append(length)
-        for lengths in fits:  # ascending; a character of its own always fits
-            lengths.sort()
-            if not lengths or lengths[0] != 1:
-                lengths.insert(0, 1)
+            longest[end - length + 1] = length  # of one start, the longest ends last
         failed = bytearray(size // 8 + 1)  # bit i: no encoding goes on from position i
-        stack: list[tuple[int, int]] = []  # start of a piece, its place among the lengths there
-        at, choice = 0, len(fits[0]) - 1 if size else -1
+        compatible, shorter = self.compatible, self.shorter
+        out: list[str] = []
+        at, left, piece = 0, "", text[:longest[0]] if size else ""
         while at < size:
-            left = text[stack[-1][0]:at] if stack else ""
-            while choice >= 0:
-                end = at + fits[at][choice]
-                if not failed[end >> 3] >> (end & 7) & 1 and self.compatible(left, text[at:end]):
+            while piece:
+                end = at + len(piece)
+                if not failed[end >> 3] >> (end & 7) & 1 and compatible(left, piece):
                     break
-                choice -= 1
-            if choice >= 0:
-                stack.append((at, choice))
-                at = end
-                choice = len(fits[at]) - 1 if at < size else -1
+                piece = shorter.get(piece, "")
+            if piece:
+                out.append(piece)
+                at, left = end, piece
+                piece = text[at:at + longest[at]] if at < size else ""
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                at, choice = stack.pop()
-                choice -= 1
-        return [text[a:a + fits[a][c]] for a, c in stack]
+                last = out.pop()
+                at -= len(last)
+                left, piece = out[-1] if out else "", shorter.get(last, "")
+        return out
 
     def part_ids(self, part: str) -> list[int]:
         """The ids of one part; a character without a piece becomes its UTF-8 bytes."""
@@ -140,20 +135,32 @@ class Pieces:
 
 
 class _Encoded(dict):
-    """Ids of parts as packed integers; bounded by starting anew."""
+    """Ids of parts as packed integers, and in ``words`` of what has no cut inside; both bounded by starting anew."""
 
     def __init__(self, own: Pieces):
         super().__init__()
-        self.own = own
+        self.own, self.words = own, {}
 
     def __missing__(self, part: str) -> bytes:
-        found = np.array(self.own.part_ids(part), np.int32).tobytes()
+        neighbours = self.own.neighbours
+        cuts = [i for i in range(1, len(part)) if part[i - 1:i + 1] not in neighbours]
+        found = b"".join([self._word(part[a:b]) for a, b in zip([0, *cuts], [*cuts, len(part)])])
         if len(part) <= CACHED_CHARS:
             if len(self) >= CACHED_PARTS:
                 self.clear()
             self[part] = found
         return found
 
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            found = np.array(self.own.part_ids(word), np.int32).tobytes()
+            if len(word) <= CACHED_CHARS:
+                if len(self.words) >= CACHED_WORDS:
+                    self.words.clear()
+                self.words[word] = found
+        return found
+
 
 @lru_cache(1)
 def pieces(model: str) -> Pieces:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pathloom.config import BROADCAST_ROWS
 from pathloom.storage import broadcast_if_small, freeze
 
 # What a word and a symbol are, and the fixed part of the rules.
@@ -130,7 +131,7 @@ def judge(measured: DataFrame, fences: DataFrame, lang: str = "lang", source: st
     for n in MEASURES:
         inside = F.col(n).between(F.col(f"{n}_fence")["low"], F.col(f"{n}_fence")["high"])
         within = within & F.coalesce(inside, F.lit(True))
-    joined = _null_safe(measured, broadcast_if_small(fences), lang, source)
+    joined = _null_safe(measured, broadcast_if_small(fences, BROADCAST_ROWS), lang, source)
     return joined.withColumn("kept", within).drop(*[f"{n}_fence" for n in MEASURES])
 
 
