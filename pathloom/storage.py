@@ -10,8 +10,6 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pathloom.config import BROADCAST_ROWS
-
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only on a local master."""
@@ -89,9 +87,14 @@ def freeze(rows: DataFrame) -> DataFrame:
     target = new_folder(spark)
     with shuffle_cleanup(spark):
         rows.write.parquet(target)
-    return spark.read.schema(rows.schema).parquet(target)
+    stored = spark.read.schema(rows.schema).parquet(target)
+    stored._frozen = True
+    return stored
 
 
-def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that the table stays below ``limit`` rows."""
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+def broadcast_if_small(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """A table for the small side of a join. Stored, so that Spark knows its bytes and broadcasts it only below
+    ``spark.sql.autoBroadcastJoinThreshold``; with a ``limit``, hinted after counting that it has no more rows."""
+    if limit is not None:
+        return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+    return rows if getattr(rows, "_frozen", False) else freeze(rows)
