@@ -96,3 +96,24 @@ def test_ordinary_cells_are_left_to_the_pairs(spark):
     tracks = crowd(spark, 40, 5, 5)
     assert C.crowded_cells(tracks, 10.0, 1000) is None and C.crowded_cells(tracks, 10.0, NO_HOT_ROWS) is None
     assert K.contacts(scenes_of(tracks), tracks, CONFIG).answers is None
+
+
+@pytest.mark.parametrize("odd", ["none", "gaps", "twice", "dense", "nowhere"])
+def test_groups_settled_where_they_meet_are_those_of_running_sums(spark, odd):
+    """Also with people who come and go, who are twice in a frame, in more frames than the scenes, or in one without a position."""
+    config = SceneConfig(obs_len=2, pred_len=3, grp_dist_thresh=1.5, grp_std_thresh=0.6)
+    tracks = crowd(spark, 60, 7, 5, step=0.3).where("NOT (pedestrian = 3 AND frame = 30 AND x = 5)")
+    if odd == "gaps":
+        tracks = tracks.where("NOT ((pedestrian + frame div 10) % 4 = 0 AND pedestrian % 2 = 0)")
+    if odd == "twice":
+        tracks = tracks.unionByName(tracks.where("pedestrian % 5 = 0").withColumn("x", F.col("x") + 0.1))
+    if odd == "dense":
+        tracks = tracks.unionByName(tracks.where("pedestrian % 5 = 0").withColumn("frame", F.col("frame") + 3))
+    if odd == "nowhere":
+        tracks = tracks.withColumn("x", F.when(F.expr("NOT (pedestrian % 5 = 0 AND frame = 30)"), F.col("x")))
+    tracks = freeze(tracks)
+    path = F.sort_array(F.collect_list(F.struct("frame", "x", "y")))
+    scenes = freeze(tracks.groupBy("dataset", "split", "pedestrian").agg(F.slice(path, 1, 5).alias("path")).where(F.size("path") == 5)
+                    .withColumn("scene", F.col("pedestrian") + 1000))
+    found, plain = rows(K.group_pairs(scenes, tracks, config)), rows(K.pairs_by_walks(scenes, tracks, config))
+    assert found == plain and found
