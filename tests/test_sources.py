@@ -254,3 +254,15 @@ def test_files_without_a_list_are_rejected_whole(spark, tmp_path):
     found = read_tagged(spark, str(tmp_path / "in" / "*.json"), "wildtrack")
     assert [(r.frame, r.pedestrian) for r in found.tracks.collect()] == [(3, 1)]
     assert [r.value for r in found.rejects.collect()] == ["not a list"]
+
+
+def test_control_points_of_the_malformed_lines_have_a_person_each(spark, tmp_path):
+    """Two pedestrians that are in the same frames, in one file."""
+    from pathloom.catalog.source_queries import _malformed
+    from pathloom.operators.resample import repeated_controls
+    from pathloom.sources.files import tag_controls
+    events = spark.range(12).selectExpr("id + 1 AS event_id", "timestamp_seconds(id) AS ts", "(id % 2) * 500 AS user_id", "'click' AS event_type", "1D AS value", "'{\"k\": 3}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    points = tag_controls(_malformed(spark, str(tmp_path), "crowds")).where("reason IS NULL")
+    assert points.count() == 12 and points.select("pedestrian").distinct().count() == 2
+    assert repeated_controls(points).isEmpty()
