@@ -117,3 +117,29 @@ def test_groups_settled_where_they_meet_are_those_of_running_sums(spark, odd):
                     .withColumn("scene", F.col("pedestrian") + 1000))
     found, plain = rows(K.group_pairs(scenes, tracks, config)), rows(K.pairs_by_walks(scenes, tracks, config))
     assert found == plain and found
+
+
+def test_a_crowd_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Whether somebody is too near: the same as from all pairs, and who shares a small cell is not compared with anybody."""
+    radius, compared = 0.7, []
+    tracks = freeze(crowd(spark, 400, 2, 7).unionByName(crowd(spark, 40, 2, 8).withColumn("x", F.col("x") * 9 + 100).withColumn("pedestrian", F.col("pedestrian") + 1000)))
+    points = tracks.where("pedestrian % 2 = 0").select("dataset", "split", "frame", "pedestrian", "x", "y")
+    data = [tuple(r) for r in tracks.select("frame", "pedestrian", "x", "y").collect()]
+    near = [(f, p, x, y) for f, p, x, y in data if p % 2 == 0
+            and any(f == g and p != q and (x - u) * (x - u) + (y - v) * (y - v) < radius * radius for g, q, u, v in data)]
+    plain = K.nearby
+    monkeypatch.setattr(K, "nearby", lambda rows, *more: (compared.append(rows.count()), plain(rows, *more))[1])
+    found = K.touched(points.distinct(), tracks, radius).select("frame", "pedestrian", "x", "y")
+    assert sorted(tuple(r) for r in found.collect()) == sorted(set(near)) and 0 < len(set(near)) < points.distinct().count()
+    assert sum(compared) < points.distinct().count() / 2
+
+
+def test_collisions_of_a_crowd(spark, monkeypatch):
+    """All at nearly one place: no pair is made."""
+    people = 50
+    data = [("d", "train", 10 * f, p, f + 0.001 * p, 0.0) for f in range(5) for p in range(people)]
+    tracks = freeze(spark.createDataFrame(data, NAMES))
+    plain, compared = K.nearby, []
+    monkeypatch.setattr(K, "nearby", lambda rows, *more: (compared.append(rows.count()), plain(rows, *more))[1])
+    assert K.collisions(freeze(scenes_of(tracks)), tracks, CONFIG).count() == people
+    assert sum(compared) == 0
