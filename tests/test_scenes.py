@@ -253,3 +253,21 @@ def test_forecast_check(spark):
     forecasts = spark.createDataFrame(data, "dataset string, scene long, iter long, pedestrian long, t long, x double, y double")
     found = {r["dataset"]: r["is_invalid"] for r in K.forecast_check(scenes, tracks, forecasts, config).collect()}
     assert found == {"exact": False, "short": True, "far": True, "end": True, "absent": False}
+
+
+def test_only_whole_forecasts_meet_the_truth(spark, monkeypatch):
+    """Forecasts of a crowd, nearly all too short: only whole ones are kept for the truth. Two rows in a frame count as two steps."""
+    config = CONFIG.but(obs_len=2, pred_len=3)
+    path = [(10 * k, float(k), 0.0) for k in range(5)]
+    schema = "dataset string, split string, frame long, pedestrian long, x double, y double"
+    scenes = spark.createDataFrame([("d", "train", s, 1, path) for s in (0, 1)], "dataset string, split string, scene long, pedestrian long, path array<struct<frame: long, x: double, y: double>>")
+    tracks = [("d", "train", f, p, x, float(p)) for f, x, _ in path for p in range(1, 42)] + [("d", "train", 30, 41, 3.0, 99.0)]
+    data = [("d", 0, i, 1, t, 2.0 + t, 1.0) for i in (0, 1) for t in range(3)]  # the primary, in both iterations
+    data += [("d", 0, 0, p, t, 9.0, 9.0) for p in range(2, 41) for t in range(2)]  # far off, but two steps only
+    whole = data + [("d", 1, 0, 41, t, 9.0, 9.0) for t in (1, 2)] + [("d", 1, 0, 1, t, 2.0 + t, 1.0) for t in range(3)]  # two steps, three rows
+    stored, freeze = [], K.freeze
+    monkeypatch.setattr(K, "freeze", lambda rows: stored.append(freeze(rows)) or stored[-1])
+    found = K.forecast_check(scenes, spark.createDataFrame(tracks, schema), spark.createDataFrame(whole, "dataset string, scene long, iter long, pedestrian long, t long, x double, y double"), config)
+    assert sorted(tuple(r) for r in found.collect()) == [("d", 0, False, 2), ("d", 1, True, 1)]
+    kept = [rows.where("compared").count() for rows in stored if "compared" in rows.columns]
+    assert kept == [3 + 3 + 3 + 2]
