@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pathloom.config import NO_HOT_ROWS, SceneConfig
@@ -119,6 +120,47 @@ def test_groups_settled_where_they_meet_are_those_of_running_sums(spark, odd):
     assert found == plain and found
 
 
+def overlapping(tracks, size=5):
+    """Scenes from every row of a pedestrian on that has enough rows after it."""
+    ahead = Window.partitionBy("dataset", "split", "pedestrian").orderBy("frame", "x", "y")
+    path = F.collect_list(F.struct("frame", "x", "y")).over(ahead.rowsBetween(0, size - 1))
+    rows = tracks.select("dataset", "split", "pedestrian", path.alias("path"), F.row_number().over(ahead).alias("n")).where(F.size("path") == size)
+    return freeze(rows.select("dataset", "split", "pedestrian", "path", (F.col("pedestrian") * 100 + F.col("n")).alias("scene")))
+
+
+def test_scenes_that_overlap_bring_a_move_once(spark):
+    """Each move of one pedestrian is sent once, with what every scene that holds it needs to go on from there."""
+    tracks = spark.createDataFrame([("d", "train", 10 * f, 1, float(f), -float(f)) for f in range(12)], NAMES)
+    scenes = overlapping(tracks).withColumn("ahead", F.slice("path", 3, 3))
+    moves = K.later_moves(scenes, CONFIG).collect()
+    assert len(moves) == len({(m.pframe, m.frame) for m in moves}) == 9 and sum(len(m.scenes) for m in moves) == 2 * scenes.count()
+    ahead = {r.scene: [(p.frame, p.x, p.y) for p in r.ahead] for r in scenes.collect()}
+    for m in moves:
+        for scene, place in zip(m.scenes, m.places, strict=True):
+            assert list(zip(m.af, m.ax, m.ay))[:3 - place] == ahead[scene][place:] and m.past[-place:] == [p[0] for p in ahead[scene][:place]]
+
+
+@pytest.mark.parametrize("leap", [False, True])
+def test_newcomers_are_told_by_the_frames_before(spark, leap):
+    """Those at the end of a pair of frames that were not at its start, also where the pair leaps over more rows than they bring along."""
+    data = [("d", "train", 10 * f, p, float(p), 0.0) for f in range(8) for p in range(4) if (f + p) % 4 and not (p == 2 and f == 1)]
+    tracks = freeze(spark.createDataFrame(data, NAMES))
+    pairs = [("d", "train", 10 * a, 10 * b) for a in range(8) for b in range(a + 1, 8) if leap or b == a + 1]
+    found = K.newcomers(K.next_rows(tracks, CONFIG), freeze(spark.createDataFrame(pairs, "dataset string, split string, pframe long, frame long")), CONFIG)
+    seen = {(f, p) for _, _, f, p, _, _ in data}
+    assert sorted((r.pframe, r.frame, r.pedestrian) for r in found.collect()) == sorted(
+        (a, b, p) for _, _, a, b in pairs for p in range(4) if (b, p) in seen and (a, p) not in seen)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_groups_of_overlapping_scenes_with_gaps(spark, seed):
+    config = SceneConfig(obs_len=2, pred_len=3, grp_dist_thresh=1.5, grp_std_thresh=0.6)
+    tracks = freeze(crowd(spark, 60, 12, seed, step=0.3).where("NOT (pedestrian = 3 AND frame = 30 AND x = 5) AND (pedestrian + frame div 10) % 5 <> 0 AND NOT (pedestrian % 7 = 0 AND frame BETWEEN 20 AND 70)"))
+    scenes = overlapping(tracks)
+    found, plain = rows(K.group_pairs(scenes, tracks, config)), rows(K.pairs_by_walks(scenes, tracks, config))
+    assert found == plain and found
+
+
 def test_a_crowd_is_not_compared_pair_by_pair(spark, monkeypatch):
     """Whether somebody is too near: the same as from all pairs, and who shares a small cell is not compared with anybody."""
     radius, compared = 0.7, []
