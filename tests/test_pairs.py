@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from pathloom.config import SceneConfig
 from pathloom.functions.draws import jitter
-from pathloom.operators.pairs import FRAME, meet, noisy_observations, scene_paths, scene_steps
+from pathloom.operators.pairs import FRAME, meet, near_steps, nearby, neighbors, noisy_observations, scene_paths, scene_steps
 
 CONFIG = SceneConfig()
 PEOPLE = 300
@@ -32,6 +32,8 @@ def test_tasks_follow_the_pairs(spark):
     assert all_rows == 21 * pairs and most < all_rows
     most, all_rows = largest(noisy_observations(scenes, tracks, CONFIG.but(obs_len=14), iterations=2).where("pedestrian <> scene"))
     assert all_rows == 2 * 14 * pairs and most < all_rows
+    most, all_rows = largest(neighbors(scenes, tracks, 5.0, 9, 21))
+    assert all_rows == 12 * pairs and most < all_rows
 
 
 def test_a_crowded_frame_is_dealt_to_several_tasks(spark):
@@ -44,6 +46,15 @@ def test_a_crowded_frame_is_dealt_to_several_tasks(spark):
     assert largest(shared)[0] < plain.count()
 
 
+def test_near_steps_are_those_of_nearby(spark):
+    scenes, tracks = standing(spark, 60, 0.7)
+    left = tracks.withColumn("x", -F.col("x")).withColumn("y", F.col("y") - 3.0).withColumn("pedestrian", F.col("pedestrian") + 60)
+    steps, everybody = scene_steps(scenes, 0, 3), tracks.unionByName(left)
+    found = near_steps(steps, everybody, 5.0)
+    assert rows(found) == rows(nearby(steps, everybody, 5.0).select(found.columns))
+    assert found.count() > 0
+
+
 def test_draws_are_those_of_the_whole_key(spark):
     scenes, tracks = standing(spark, 5)
     found = noisy_observations(scenes, tracks, CONFIG, iterations=3, thresh=0.5)
