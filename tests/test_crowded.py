@@ -185,3 +185,39 @@ def test_collisions_of_a_crowd(spark, monkeypatch):
     monkeypatch.setattr(K, "nearby", lambda rows, *more: (compared.append(rows.count()), plain(rows, *more))[1])
     assert K.collisions(freeze(scenes_of(tracks)), tracks, CONFIG).count() == people
     assert sum(compared) == 0
+
+
+def met_pairs(monkeypatch, join, keys=()):
+    """Pairs that are met from now on, one number for each join."""
+    pairs, plain = [], getattr(K, join)
+
+    def counted(here, there, on, *more, **named):
+        pairs.append(K.group_sizes(here, there, [*on, *keys]).agg(F.sum("_pairs")).first()[0] or 0)
+        return plain(here, there, on, *more, **named)
+
+    monkeypatch.setattr(K, join, counted)
+    return pairs
+
+
+def test_one_companion_is_enough(spark, monkeypatch):
+    """Whether a scene of a crowd is in a group: it meets a part of the others first, and the rest only if it is not; the same as from all pairs."""
+    people, lone = 300, 20
+    data = [("d", "train", 10 * f, p, 0.01 * p if p < people else 40.0 * p, 0.001 * (p * f % 7)) for f in range(5) for p in range(people + lone)]
+    tracks = freeze(spark.createDataFrame(data, NAMES))
+    scenes = freeze(scenes_of(tracks))
+    everybody = {r.scene for r in K.group_pairs(scenes, tracks, CONFIG).select("scene").distinct().collect()}
+    pairs = met_pairs(monkeypatch, "_met", ("_gx", "_gy"))
+    assert {r.scene for r in K.group_flags(scenes, tracks, CONFIG).collect()} == everybody == {1000 + p for p in range(people)}
+    assert sum(pairs) < people * people / 3
+
+
+def test_a_cone_is_not_compared_with_all_in_reach(spark, monkeypatch):
+    tracks = freeze(crowd(spark, 500, 3, 11, width=9.9).where("NOT (pedestrian = 3 AND frame = 30)"))
+    scenes = freeze(scenes_of(tracks, 3))
+    config = CONFIG.but(pred_len=1)
+    data = [tuple(r) for r in tracks.collect()]
+    want = {p: w for p, w in brute(data, config).items() if w[0]}
+    pairs = met_pairs(monkeypatch, "meet")
+    found = {r.scene - 1000: (True, r.leader, r.avoidance) for r in K.cone_flags(scenes, tracks, config).collect()}
+    at = np.array([(x, y) for _, _, f, _, x, y in data if f == 20])
+    assert found == want and 0 < sum(pairs) < (np.hypot(*(at[:, None] - at[None]).T) <= 5).sum()
